@@ -42,11 +42,15 @@ ZONES = """
                      ELSE 'America/Phoenix' END AS time_zone_name
   FROM {region}"""
 DC_DIM = """
-  SELECT CAST(n_nationkey AS BIGINT) AS dc_nbr, 'US' AS country_code, 'Y' AS current_ind, r_name AS time_zone_code,
+  SELECT CAST(n_nationkey AS BIGINT) AS dc_nbr, 'US' AS country_code, 'Y' AS current_ind,
+         CASE n_regionkey WHEN 0 THEN 'AFRICA' WHEN 1 THEN 'AMERICA' WHEN 2 THEN 'ASIA' WHEN 3 THEN 'EUROPE'
+                          ELSE 'MIDDLE EAST' END AS time_zone_code,
          CASE WHEN n_name = 'NATION_24' THEN 'Import' ELSE 'Regional' END AS dc_type_desc, n_name AS dc_name,
-         r_name AS dc_region_name, 'Grocery' AS dc_sub_type_desc
-  FROM {nation} JOIN {region} ON n_regionkey = r_regionkey"""
+         'Region' AS dc_region_name, 'Grocery' AS dc_sub_type_desc
+  FROM {nation}"""
 STORE_DIM = """
   SELECT c_custkey AS store_nbr, 'US' AS country_code, 'Y' AS current_ind,
-         CASE WHEN c_acctbal < -900 THEN 'HI' ELSE 'TX' END AS state_prov_code, r_name AS time_zone_code
-  FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey JOIN {region} ON n_regionkey = r_regionkey"""
+         CASE WHEN c_acctbal < -900 THEN 'HI' ELSE 'TX' END AS state_prov_code,
+         CASE c_mktsegment WHEN 'BUILDING' THEN 'AFRICA' WHEN 'FURNITURE' THEN 'AMERICA' WHEN 'MACHINERY' THEN 'ASIA'
+                           ELSE 'EUROPE' END AS time_zone_code
+  FROM {customer}"""

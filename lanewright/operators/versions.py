@@ -32,10 +32,27 @@ def first_version(
 
 
 def singleton_only(df: DataFrame, keys: Sequence[str], counted: str) -> DataFrame:
-    """Rows of keys whose count of known ``counted`` values is exactly one; others go entirely."""
-    single = (
-        df.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys])
-        .agg(F.count(counted).alias("_n"))
-        .filter(F.col("_n") == 1)
+    """Rows of keys whose count of known ``counted`` values is exactly one; others go entirely.
+
+    ``counted`` has to be one of the keys. One aggregation: a key reaches its task as
+    one row per map task, however many rows it had.
+    """
+    if counted not in keys:
+        raise ValueError("the counted column must be a key")
+    row = F.any_value(F.struct(*[F.col(c) for c in df.columns])).alias("_row")
+    grouped = df.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(F.count(counted).alias("_n"), row)
+    return grouped.filter(F.col("_n") == 1).select("_row.*")
+
+
+def first_versions(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], which: dict[str, Column | None],
+) -> DataFrame:
+    """First row of every key under several conditions at once, {struct column: condition}.
+
+    One aggregation instead of a ranking per condition. The structs hold ``order``;
+    a condition no row of the key satisfies gives NULL.
+    """
+    row = F.struct(*[F.col(c) for c in order])
+    return df.groupBy(*keys).agg(
+        *[F.min(row if where is None else F.when(where, row)).alias(name) for name, where in which.items()]
     )
-    return df.join(single, same_key(df, single, [(k, f"_k_{k}") for k in keys]), "left_semi")

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from lanewright.functions.dates import day, moment, to_local
 from lanewright.functions.quantities import utilisation
 from lanewright.operators.joins import consolidate
-from lanewright.plans.trailer_plan import COUNTRY, INVOICE_DAYS, STORE_FREIGHT, local_zone, store_loads
+from lanewright.plans.trailer_plan import COUNTRY, INVOICE_DAYS, STORE_FREIGHT, store_loads, with_zone
+from lanewright.session import staged
 from lanewright.sources.datasets import delete_matching, delete_orphans, merge_upsert
 
 # Plan states that count as loads in the modern system.
@@ -56,7 +57,6 @@ def modern(
     regional = dc_dim.filter(
         (F.col("country_code") == COUNTRY) & (F.col("current_ind") == "Y") & (F.col("dc_type_desc") == "Regional")
     ).select(F.col("dc_nbr").alias("origin_location_id"))
-    zone_of = local_zone(store_dim, "store_nbr", zones).withColumnRenamed("store_nbr", "destination_location_id")
     rows = (
         plan_data.filter(
             F.col("status").isin(ACTIVE_PLAN_STATES)
@@ -67,8 +67,8 @@ def modern(
         .withColumn("load_id", F.col("plan_id").cast("long"))
         .join(regional, "origin_location_id", "inner")
         .join(psn_load.select("load_id", "trailer_id"), "load_id", "left")
-        .join(zone_of, "destination_location_id", "left")
     )
+    rows = with_zone(rows, "destination_location_id", store_dim, "store_nbr", zones)
     zone = F.col("time_zone_name")
     projected = to_local(F.col("min_due_ts"), zone)
     return rows.select(
@@ -105,6 +105,7 @@ def refresh_tracking(
     target: DataFrame, source: DataFrame, cancelled: DataFrame, now: dt.datetime, drop_orphans: bool = False
 ) -> DataFrame:
     """Tracking table after upsert and deletions; optionally without rows whose date moved away."""
+    source = staged(source)
     stamped = source.withColumn("refresh_ts", moment(now))
     updates = [c for c in [*TRACKING_UPDATES, "data_source"] if c in target.columns and c in stamped.columns]
     inserts = [c for c in target.columns if c in stamped.columns]

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lanewright.functions import rules
 from lanewright.functions.dates import datetime_diff, day
 from lanewright.operators.scans import ordered_scan, totals_over
+from lanewright.session import staged
 
 WINDOW_DAYS = 90
 COLUMNS = [
@@ -67,7 +68,7 @@ def productivity(sources: list[DataFrame], locations: DataFrame) -> DataFrame:
         "total_daily_minutes": F.max("cumulative_minutes"),
         "total_daily_activities": F.max("activity_seq"),
     }
-    rows = totals_over(rows, ["tech_id", "activity_date"], daily)
+    rows = staged(totals_over(staged(rows), ["tech_id", "activity_date"], daily))
     rows = ordered_scan(
         rows, ["tech_id"], ["activity_date", "activity_seq", "_source", "workorder_id"], chunk=F.col("activity_date"),
         prev={"prev_cumulative": "cumulative_minutes"},

@@ -13,6 +13,7 @@ from lanewright.operators.events import (
     drop_superseded, pair_by_position, precedence_union, segments_from_changes,
 )
 from lanewright.operators.joins import either_key_join, interval_join
+from lanewright.session import staged
 
 # Sources that correct earlier phone entries, the test user, and the call actions.
 CORRECTING_SOURCES = ["xml", "web"]
@@ -162,9 +163,9 @@ def technician_activity(
     isp: DataFrame, ftm: DataFrame, ivr: DataFrame, segments: DataFrame, alignment: DataFrame, workorders: DataFrame
 ) -> DataFrame:
     """One activity table: sources by precedence, provider at check-in, person, duration."""
+    isp, ftm, ivr = (df.select(*ACTIVITY_COLUMNS) for df in (staged(isp), staged(ftm), ivr))
     log = precedence_union(
-        [(isp.select(*ACTIVITY_COLUMNS), "all"), (ftm.select(*ACTIVITY_COLUMNS), "absent"),
-         (ivr.select(*ACTIVITY_COLUMNS), "absent_or_later")],
+        [(isp, "all"), (ftm, "absent"), (ivr, "absent_or_later")],
         "tracking_nbr", "check_in_datetime", "check_out_datetime",
     )
     known = workorders.select(
@@ -178,7 +179,7 @@ def technician_activity(
         F.col("provider_name").alias("_seg_name"), "segment_start", "segment_end",
     )
     rows = interval_join(
-        rows, held, [("tracking_nbr", "_seg_key")], "check_in_datetime", "segment_start", "segment_end", closed=False
+        staged(rows), staged(held), [("tracking_nbr", "_seg_key")], "check_in_datetime", "segment_start", "segment_end", closed=False
     )
     person = aligned_people(alignment)
     person = person.withColumnsRenamed(

@@ -18,8 +18,9 @@ from lanewright.functions.quantities import non_breakpack_cases, pack_volume
 from lanewright.operators.calendar import dense_grid, forward_fill, neighbour_flag
 from lanewright.operators.events import door_window, milestone_pivot, repair_gaps
 from lanewright.operators.joins import by_priority, consolidate, date_window_or_ids, interval_join
-from lanewright.operators.scans import totals_over
-from lanewright.operators.versions import first_version, latest_version, singleton_only
+from lanewright.operators.scans import same_key, totals_over
+from lanewright.operators.versions import first_versions, latest_version, singleton_only
+from lanewright.session import staged
 from lanewright.sources.datasets import delete_matching, merge_upsert
 
 # Scope of the plan.
@@ -49,10 +50,15 @@ PLAN_UPDATES = [
 ]
 
 
-def local_zone(locations: DataFrame, number: str, zones: DataFrame) -> DataFrame:
-    """(number, time_zone_name) of the current domestic locations."""
+def with_zone(rows: DataFrame, on: str, locations: DataFrame, number: str, zones: DataFrame) -> DataFrame:
+    """Add the time zone of the current domestic location named in ``on``.
+
+    Location and zone join one after the other: each is a plain scan whose size Spark
+    knows when it decides whether to broadcast.
+    """
     scope = locations.filter((F.col("country_code") == COUNTRY) & (F.col("current_ind") == "Y"))
-    return scope.select(number, "time_zone_code").join(zones, "time_zone_code", "left").drop("time_zone_code")
+    located = rows.join(scope.select(F.col(number).alias(on), "time_zone_code"), on, "left")
+    return located.join(zones, "time_zone_code", "left").drop("time_zone_code")
 
 
 # -- stage 1 ---------------------------------------------------------------------------------
@@ -100,17 +106,16 @@ def forecast_current(calendar: DataFrame, forecast: DataFrame, now: dt.datetime)
 # -- stage 2 ---------------------------------------------------------------------------------
 
 
-def assigned_versions(history: DataFrame, real_trailers_only: bool = False) -> DataFrame:
-    """First history row per (load, creation) with a trailer, optionally ignoring placeholders."""
+def assigned_versions(history: DataFrame) -> DataFrame:
+    """First history row per (load, creation) with any trailer, and with a real one."""
     where = (
         ~F.col("load_status").isin("CANCEL")
         & (F.trim("freight_category_code") == STORE_FREIGHT)
         & F.col("trailer_id").isNotNull()
     )
-    if real_trailers_only:
-        where = where & rules.real_trailer(F.col("trailer_id"))
-    return first_version(
-        history, ["load_id", "create_ts_utc"], ["last_change_ts_utc", "ready_ts_utc", "trailer_id"], where
+    return first_versions(
+        history.filter(where), ["load_id", "create_ts_utc"], ["last_change_ts_utc", "ready_ts_utc", "trailer_id"],
+        {"_any": None, "_real": rules.real_trailer(F.col("trailer_id"))},
     )
 
 
@@ -147,7 +152,6 @@ def store_loads(
     origin = dc_dim.filter(
         (F.col("country_code") == COUNTRY) & (F.col("current_ind") == "Y") & (F.col("dc_type_desc") == "Regional")
     ).select(F.col("dc_nbr").alias("origin_location_id"), "time_zone_code")
-    origin = origin.join(zones, "time_zone_code", "left").drop("time_zone_code")
     stores = store_dim.filter(
         (F.col("country_code") == COUNTRY) & ~F.col("state_prov_code").isin(OFFSHORE_STATES)
     ).select(F.col("store_nbr").alias("dest_location_id"))
@@ -156,7 +160,9 @@ def store_loads(
         .join(load_rows, "load_id", "inner")
         .join(trip_rows, "trip_id", "inner")
         .join(origin, "origin_location_id", "inner")
+        .join(zones, "time_zone_code", "left")
         .join(stores, "dest_location_id", "inner")
+        .drop("time_zone_code")
     )
     if drop_past_placeholders:
         rows = rows.filter((projected >= day(now)) | rules.real_trailer(F.col("trailer_id")))
@@ -172,12 +178,11 @@ def legacy_loads(
         xref, loads, trips, dc_dim, store_dim, zones, now,
         status="load_status", active_trips_only=True, drop_past_placeholders=True,
     )
-    version = ["load_id", "create_ts_utc"]
-    estimated = assigned_versions(history).select(*version, F.col("ready_ts_utc").alias("_est_ready"))
-    first = assigned_versions(history, real_trailers_only=True).select(
-        *version, F.col("ready_ts_utc").alias("_first_ready"), F.col("last_change_ts_utc").alias("_first_change")
+    versions = assigned_versions(history).select(
+        "load_id", "create_ts_utc", F.col("_any.ready_ts_utc").alias("_est_ready"),
+        F.col("_real.ready_ts_utc").alias("_first_ready"), F.col("_real.last_change_ts_utc").alias("_first_change"),
     )
-    rows = rows.join(estimated, version, "left").join(first, version, "left")
+    rows = rows.join(versions, ["load_id", "create_ts_utc"], "left")
     zone = F.col("time_zone_name")
     ready = selected_ready(F.col("trailer_id"), F.col("_est_ready"), F.col("ready_ts_utc"), F.col("_first_change"))
     return rows.select(
@@ -233,7 +238,7 @@ def door_timestamps(operations: DataFrame, store_dim: DataFrame, now: dt.datetim
     )
     # Pivoted rows are already unique per key: a further group-by would change nothing.
     return repair_gaps(
-        stays, ["dc_nbr", "trailer_id"], "gate_in_ts", "gate_out_ts",
+        staged(stays), ["dc_nbr", "trailer_id"], "gate_in_ts", "gate_out_ts",
         "first_trailer_door_open_ts", "last_trailer_door_close_ts", tie=["trip_id", "store_nbr"],
     )
 
@@ -279,19 +284,19 @@ def load_activity(
         F.col("dc_nbr").alias("_dc"), F.col("trailer_id").alias("_trailer"), "_from", "_to", "door_open_count",
         "first_trailer_door_open_ts", "last_trailer_door_close_ts", "gate_out_ts",
     )
-    zone_of = local_zone(dc_dim, "dc_nbr", zones).withColumnRenamed("dc_nbr", "origin_location_id")
+    # stays last at most 5 days, so each load looks at the stays of its own time bucket only
+    rows = interval_join(
+        loads, stays, [("origin_location_id", "_dc"), ("trailer_id", "_trailer")], "ready_ts", "_from", "_to",
+        bucket_hours=120,
+    )
+    # joins by load come last and next to each other: the distinct below needs no further shuffle
     rows = (
-        loads.join(zone_of, "origin_location_id", "left")
+        with_zone(rows, "origin_location_id", dc_dim, "dc_nbr", zones)
         .join(departs, ["load_id", "origin_location_id"], "left")
         .join(arrives, ["load_id", "dest_location_id"], "left")
         .join(delivered, ["load_id", "dest_location_id", "trailer_id"], "left")
         .join(moved, ["load_id", "trip_id", "trailer_id"], "left")
     )
-    # stays last at most 5 days, so each load looks at the stays of its own time bucket only
-    rows = interval_join(
-        rows, stays, [("origin_location_id", "_dc"), ("trailer_id", "_trailer")], "ready_ts", "_from", "_to",
-        bucket_hours=120,
-    )
     zone = F.col("time_zone_name")
     begin = F.coalesce(to_local(F.col("_stop_depart"), zone), to_local(F.col("_move_depart"), zone), F.col("depart_ts"))
     finish = F.coalesce(to_local(F.col("_stop_arrive"), zone), F.col("_cnsld_arrive"), to_local(F.col("_move_arrive"), zone))
@@ -412,17 +417,15 @@ def refresh_plan(target: DataFrame, staged: DataFrame, cancelled: DataFrame) ->
 
 
 def dashboard_rows(plan: DataFrame) -> DataFrame:
-    """Plan rows of the last 60 days with current-run flag, believable volume and status."""
+    """Plan rows of the last 60 days with believable volume, utilisation group and status."""
     rows = plan.filter((F.col("date_difference") <= 60) | F.col("date_difference").isNull())
-    rows = rows.withColumns({"trailer_id": F.trim("trailer_id"), "projected_date": F.to_date("projected_ts")})
-    rows = totals_over(rows, ["load_id", "trip_id", "trailer_id"], {"_last_run": F.max("run_date")})
     too_big = F.coalesce(F.col("cube_qty") > rules.CUBE_CEILING, F.lit(False))
+    times = ("ready_ts", "projected_ts", "begin_trip_ts", "end_trip_ts")
     return rows.select(
-        "run_date",
-        F.coalesce(F.col("run_date") == F.col("_last_run"), F.lit(False)).alias("current_ind"),
-        "orig_loc_id", "dest_loc_id", F.col("dest_loc_id").alias("store_nbr"), "projected_date",
-        "projected_year_wk_nbr", "refresh_time", "must_ship_flag", "load_id", "trip_id", "trailer_id",
-        *[datetime_trunc(F.col(c), "second").alias(c) for c in ("ready_ts", "projected_ts", "begin_trip_ts", "end_trip_ts")],
+        "run_date", "orig_loc_id", "dest_loc_id", F.col("dest_loc_id").alias("store_nbr"),
+        F.to_date("projected_ts").alias("projected_date"), "projected_year_wk_nbr", "refresh_time", "must_ship_flag",
+        "load_id", "trip_id", F.trim("trailer_id").alias("trailer_id"),
+        *[datetime_trunc(F.col(c), "second").alias(c) for c in times],
         "case_qty",
         F.when(~too_big, F.col("cube_qty")).alias("cube_qty"),
         "weight_qty",
@@ -435,6 +438,13 @@ def dashboard_rows(plan: DataFrame) -> DataFrame:
     )
 
 
+def current_runs(rows: DataFrame) -> DataFrame:
+    """``current_ind``: the row belongs to the latest run of its load, trip and trailer."""
+    latest = totals_over(rows, ["load_id", "trip_id", "trailer_id"], {"_last_run": F.max("run_date")})
+    flag = F.coalesce(F.col("run_date") == F.col("_last_run"), F.lit(False))
+    return latest.withColumn("current_ind", flag).drop("_last_run")
+
+
 def daily_rollup(rows: DataFrame) -> DataFrame:
     """Distinct trailers and carry-overs per store, day and plan; bounded by the calendar, so windowed."""
     counted = rows.groupBy(
@@ -475,8 +485,14 @@ def dashboard_base(plan: DataFrame, stores: DataFrame, dc_dim: DataFrame, distin
         F.col("region_name").alias("store_region_name"),
     )
     dc = dc_dim.select(F.col("dc_nbr").alias("orig_loc_id"), "dc_name", "dc_region_name", "dc_sub_type_desc")
+    # the counts run over rows that found their store and DC; a store-day shares one store
+    counted = rows.join(dc, "orig_loc_id", "left_semi").select("store_nbr", "projected_date", "load_id", "daily_plan")
+    actual = counted.groupBy(F.col("store_nbr").alias("_store"), F.col("projected_date").alias("_day")).agg(
+        F.count_distinct("load_id").alias("daily_actl"), F.max("daily_plan").alias("_max_plan")
+    )
     joined = (
-        rows.join(store, "dest_loc_id", "inner")
+        current_runs(rows)
+        .join(store, "dest_loc_id", "inner")
         .join(dc, "orig_loc_id", "inner")
         .join(
             daily.select("store_nbr", "projected_date", "next_day_plan", "carry_over_count"),
@@ -486,11 +502,10 @@ def dashboard_base(plan: DataFrame, stores: DataFrame, dc_dim: DataFrame, distin
         .withColumn("total_carry_overs", F.coalesce("carry_over_count", F.lit(0)))
         .drop("carry_over_count")
     )
-    counted = totals_over(
-        joined, ["store_nbr", "projected_date"],
-        {"daily_actl": F.count_distinct("load_id"), "_max_plan": F.max("daily_plan")},
-    )
-    return counted.withColumn(
+    joined = joined.join(
+        actual, same_key(joined, actual, [("store_nbr", "_store"), ("projected_date", "_day")]), "inner"
+    ).drop("_store", "_day")
+    return joined.withColumn(
         "plan_compliance_flag",
         rules.plan_compliance(
             F.col("projected_date"), F.to_date("refresh_time"), F.col("daily_actl"), F.col("_max_plan")

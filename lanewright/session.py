@@ -1,7 +1,10 @@
-"""Spark session settings the library relies on, and lineage cutting for long jobs."""
+"""Spark session settings the library relies on, and staging of intermediate results."""
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 # Civil times are TIMESTAMP_NTZ; comparing and truncating them goes through the
@@ -14,6 +17,8 @@ SETTINGS = {
     "spark.ui.enabled": "false",
 }
 
+_local_folder: tempfile.TemporaryDirectory | None = None
+
 
 def build_session(app: str, master: str | None = None, **settings: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
@@ -24,18 +29,33 @@ def build_session(app: str, master: str | None = None, **settings: str) -> Spark
     return builder.getOrCreate()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it back.
+def shared_folder(spark: SparkSession) -> str | None:
+    """Folder every executor can reach: the one the session names in ``spark.checkpoint.dir``.
 
-    The folder is the one the session names in ``spark.checkpoint.dir``. Without
-    one the plan is returned unchanged: a machine-local folder would be lost with
-    its executor.
+    A session on local[...] without one gets a temporary folder of this process; a
+    cluster session without one has none.
     """
-    spark = df.sparkSession
+    global _local_folder
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
+    if folder:
+        return folder.rstrip("/")
+    if not spark.conf.get("spark.master", "").startswith("local"):
+        return None
+    if _local_folder is None:
+        _local_folder = tempfile.TemporaryDirectory(prefix="lanewright-")
+    return _local_folder.name
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """Write an intermediate result to the shared folder and read it back.
+
+    For results several later steps read: they are computed once, a lost executor
+    costs a re-read instead of a recomputation, and the reader prunes columns and sees
+    real sizes. Without a shared folder the plan is returned as it is.
+    """
+    folder = shared_folder(df.sparkSession)
+    if folder is None:
         return df
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
-    return df.checkpoint()
+    path = f"{folder}/staged/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
