@@ -54,6 +54,8 @@ def check(name: str, sql: str | None = None, **inputs: str | Source):
                 frames[key] = _build(spark, sf_dir, text, frames)
             return build(**frames)
 
+        if name in QUERIES:
+            raise ValueError(f"query {name!r} is registered twice")
         QUERIES[name] = run
         if sql is not None:
             parts = [
