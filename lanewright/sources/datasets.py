@@ -35,6 +35,11 @@ def current_version(spark: SparkSession, path: str) -> int | None:
     return commits(spark, path).agg(F.max("version")).first()[0]
 
 
+def committed_at(spark: SparkSession, path: str) -> dt.datetime | None:
+    """When the current version was committed."""
+    return commits(spark, path).agg(F.max_by("committed_at", "version")).first()[0]
+
+
 def _commit(spark: SparkSession, path: str, version: int, at: dt.datetime, expires: dt.datetime | None) -> None:
     row = spark.createDataFrame([(version, at, expires)], _COMMIT_SCHEMA)
     row.coalesce(1).write.mode("append").json(f"{path}/commits")
