@@ -14,6 +14,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lanewright.session import configure
+
 _TABLE = re.compile(r"\{(\w+)\}")
 
 
@@ -48,6 +50,7 @@ def check(name: str, sql: str | None = None, **inputs: str | Source):
 
     def register(build: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            configure(spark)
             frames: dict[str, DataFrame] = {}
             for key, source in inputs.items():
                 text = source.spark if isinstance(source, Source) else source

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lanewright.functions.nulls import strict_greatest
-from lanewright.operators.scans import ordered_scan, same_key
+from lanewright.operators.scans import join_groups, ordered_scan, without_match
 
 
 def milestone_pivot(
@@ -70,19 +70,20 @@ def door_window(stays: DataFrame, entry: str, exit: str, first_open: str, last_c
 
 
 def drop_superseded(
-    events: DataFrame, key: str, ts: str, source: str, sources: Sequence[str], tie: Sequence[str] = ()
+    events: DataFrame, key: str, ts: str, source: str, sources: Sequence[str], tie: Sequence[str] = (),
+    chunk: Column | None = None,
 ) -> DataFrame:
     """Events left after corrections: an event followed on its date by one from ``sources`` takes that time.
 
     An event survives if its own time is among the corrected times of its key; events
     without key always do. "The next event is on the same date" only concerns events of
-    one key and date, so the look-ahead works per (key, date).
+    one key and date, so the look-ahead works per (key, date), cut further by ``chunk``.
     """
     keyed = events.filter(F.col(key).isNotNull()).withColumn("_day", F.to_date(ts))
-    ahead = ordered_scan(keyed, [key, "_day"], [ts, *tie], next={"_next_ts": ts, "_next_source": source})
+    ahead = ordered_scan(keyed, [key, "_day"], [ts, *tie], chunk=chunk, next={"_next_ts": ts, "_next_source": source})
     moved = F.when(F.col("_next_source").isin(list(sources)), F.col("_next_ts")).otherwise(F.col(ts))
     times = ahead.select(F.col(key).alias("_ckey"), moved.alias("_cts")).distinct()
-    kept = events.join(times, (events[key] == times["_ckey"]) & (events[ts] == times["_cts"]), "left_semi")
+    kept = join_groups(events, times, [(key, "_ckey"), (ts, "_cts")], "left_semi")
     return kept.unionByName(events.filter(F.col(key).isNull()))
 
 
@@ -97,9 +98,10 @@ def pair_by_position(
     def numbered(df: DataFrame, ts: str, tie: Sequence[str], out: str) -> DataFrame:
         return ordered_scan(df, [key], [ts, *tie], chunk=F.to_date(ts) if chunked else None, number=out)
 
-    latest = ends.groupBy(key).agg(F.max(end_ts).alias(f"last_{end_ts}"))
-    right = numbered(ends.select(key, end_ts, *end_tie), end_ts, end_tie, "idx")
-    right = right.join(latest, key, "inner").select(key, "idx", end_ts, f"last_{end_ts}")
+    ends = ends.select(key, end_ts, *end_tie)
+    latest = ends.groupBy(F.col(key).alias("_key")).agg(F.max(end_ts).alias(f"last_{end_ts}"))
+    right = join_groups(numbered(ends, end_ts, end_tie, "idx"), latest, [(key, "_key")], "inner")
+    right = right.select(key, "idx", end_ts, f"last_{end_ts}")
     return numbered(starts, start_ts, start_tie, "idx").join(right, [key, "idx"], "left")
 
 
@@ -145,10 +147,10 @@ def precedence_union(
         if rule == "all" or earlier is None:
             parts.append(df)
         elif rule == "absent":
-            parts.append(df.join(earlier, df[key] == earlier["_seen"], "left_anti"))
+            parts.append(without_match(df, earlier, [(key, "_seen")]))
         elif rule == "absent_or_later":
             ends = earlier.groupBy("_seen").agg(F.max("_seen_end").alias("_max_end"))
-            joined = df.join(ends, df[key] == ends["_seen"], "left")
+            joined = join_groups(df, ends, [(key, "_seen")], "left")
             parts.append(
                 joined.filter(F.col("_seen").isNull() | (F.col(start) > F.col("_max_end"))).drop("_seen", "_max_end")
             )
@@ -171,5 +173,5 @@ def status_transitions(
 
 __all__ = [
     "door_window", "drop_superseded", "milestone_pivot", "pair_by_position", "precedence_union",
-    "repair_gaps", "same_key", "segments_from_changes", "status_transitions",
+    "repair_gaps", "segments_from_changes", "status_transitions",
 ]

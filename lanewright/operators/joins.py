@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from lanewright.functions import rules
 from lanewright.functions.dates import epoch_seconds
+from lanewright.operators.scans import without_match
 
 Pairs = Sequence[tuple[str, str]]
 
@@ -113,11 +114,7 @@ def either_key_join(left: DataFrame, right: DataFrame, on: Pairs, how: str = "le
         parts.append(left.join(right, hit & ~earlier, "inner"))
         earlier = earlier | F.coalesce(hit, F.lit(False))
     if how == "left":
-        alone = left
-        for a, b in on:
-            keys = right.select(F.col(b).alias("_key"))
-            alone = alone.join(keys, alone[a] == keys["_key"], "left_anti")
-        parts.append(alone)
+        parts.append(reduce(lambda rows, pair: without_match(rows, right, [pair]), on, left))
     return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
 
 
@@ -148,8 +145,9 @@ def consolidate(
         return out
 
     both = p.join(s, match, "inner").select(*merged([("p", primary), ("s", secondary)]))
-    only_p = p.join(s, match, "left_anti").select(*merged([("p", primary)]))
-    only_s = s.join(p, match, "left_anti").select(*merged([("s", secondary)]))
+    same = [(k, k) for k in keys]
+    only_p = without_match(primary, secondary, same).alias("p").select(*merged([("p", primary)]))
+    only_s = without_match(secondary, primary, same).alias("s").select(*merged([("s", secondary)]))
     return both.unionByName(only_p).unionByName(only_s)
 
 

@@ -100,9 +100,30 @@ def ordered_scan(
     return scanned.filter(F.col(_SIDE) == _ROW).drop(_CHUNK, _SIDE, _ONE, *helpers)
 
 
-def same_key(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
-    """Join condition that also matches NULL with NULL, as grouping does."""
-    return reduce(and_, [left[a].eqNullSafe(right[b]) for a, b in pairs])
+def join_groups(
+    df: DataFrame, groups: DataFrame, pairs: Sequence[tuple[str, str]], how: str = "left",
+    nulls_match: bool = False, also: Column | None = None,
+) -> DataFrame:
+    """Join rows to results that have one row per key, letting Spark split a hot key.
+
+    Spark splits a hot partition only where both sides were shuffled for the join. An
+    aggregate joined on its own grouping columns would keep its partitioning, so the
+    hash of the key takes part in the join and gives it a shuffle of its own.
+    """
+    hashed = [F.xxhash64(*[side[p[i]] for p in pairs]) for i, side in enumerate((df, groups))]
+    on = reduce(and_, [df[a].eqNullSafe(groups[b]) if nulls_match else df[a] == groups[b] for a, b in pairs])
+    on = on & (hashed[0] == hashed[1])
+    return df.join(groups, on if also is None else on & also, how)
+
+
+def without_match(df: DataFrame, other: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """Rows of ``df`` whose key does not occur in ``other`` (NULL keys occur nowhere).
+
+    Keys are reduced to one row each before the shuffle, so copies on the other side cost
+    nothing, and a hot key of ``df`` can be split.
+    """
+    keys = other.select(*[F.col(b).alias(f"_m_{b}") for _, b in pairs]).distinct()
+    return join_groups(df, keys, [(a, f"_m_{b}") for a, b in pairs], "left_anti")
 
 
 def totals_over(df: DataFrame, keys: Sequence[str], totals: dict[str, Column], base: DataFrame | None = None) -> DataFrame:
@@ -115,8 +136,8 @@ def totals_over(df: DataFrame, keys: Sequence[str], totals: dict[str, Column], b
     groups = (base or df).groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(
         *[c.alias(n) for n, c in totals.items()]
     )
-    on = same_key(df, groups, [(k, f"_k_{k}") for k in keys])
-    return df.join(groups, on, "inner").drop(*[f"_k_{k}" for k in keys])
+    joined = join_groups(df, groups, [(k, f"_k_{k}") for k in keys], "inner", nulls_match=True)
+    return joined.drop(*[f"_k_{k}" for k in keys])
 
 
 def count_distinct_over(df: DataFrame, keys: Sequence[str], column: str, out: str) -> DataFrame:
@@ -125,16 +146,36 @@ def count_distinct_over(df: DataFrame, keys: Sequence[str], column: str, out: st
 
 
 def exact_percentiles(
-    df: DataFrame, keys: Sequence[str], column: str, points: dict[str, float], weight: str | None = None
+    df: DataFrame, keys: Sequence[str], column: str, points: dict[str, float], weight: str | None = None,
+    chunk: Column | None = None,
 ) -> DataFrame:
     """Interpolated percentiles per group, {new column: point}.
 
-    Equal values are counted first (map-side, in generated code), so a group reaches
-    its final task as one row per distinct value. ``weight`` is a count per row.
+    Equal values are counted first (map-side, in generated code). For columns with few
+    distinct values, such as whole hours or days, these counts go to Spark's exact
+    percentile. Where a group may hold any number of distinct values, give ``chunk``
+    (an expression that never decreases with the column): counts are then accumulated
+    chunk by chunk and the values at the wanted ranks picked by a plain aggregation.
+    ``weight`` is a count per row.
     """
     copies = F.sum(weight) if weight else F.count(F.lit(1))
     counted = df.filter(F.col(column).isNotNull()).groupBy(*keys, column).agg(copies.alias("_n"))
-    bundle = F.percentile(F.col(column), F.array(*[F.lit(p) for p in points.values()]), F.col("_n"))
-    return counted.groupBy(*keys).agg(bundle.alias("_p")).select(
-        *keys, *[F.col("_p")[i].alias(n) for i, n in enumerate(points)]
-    )
+    if chunk is None:
+        bundle = F.percentile(F.col(column), F.array(*[F.lit(p) for p in points.values()]), F.col("_n"))
+        return counted.groupBy(*keys).agg(bundle.alias("_p")).select(
+            *keys, *[F.col("_p")[i].alias(n) for i, n in enumerate(points)]
+        )
+    ranked = ordered_scan(counted, keys, [column], chunk=chunk, running={"_upto": "_n"})
+    ranked = totals_over(ranked, keys, {"_total": F.sum("_n")}, base=counted)
+
+    def at_rank(rank: Column) -> Column:
+        return F.min(F.when(F.col("_upto") > rank, F.col(column)))
+
+    picks, out = [], []
+    for name, point in points.items():
+        rank = F.lit(point) * (F.col("_total") - 1)
+        picks += [at_rank(F.floor(rank)).alias(f"_lo_{name}"), at_rank(F.ceil(rank)).alias(f"_hi_{name}"),
+                  F.max(rank - F.floor(rank)).alias(f"_part_{name}")]
+        low, high = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
+        out.append((low + (high - low) * F.col(f"_part_{name}")).alias(name))
+    return ranked.groupBy(*keys).agg(*picks).select(*keys, *out)

@@ -7,14 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lanewright.operators.scans import same_key
+from lanewright.operators.scans import join_groups
 
 
 def latest_version(df: DataFrame, keys: Sequence[str], version: str, distinct: bool = True) -> DataFrame:
     """Rows carrying the highest ``version`` of their key; ties stay, exact copies fold into one."""
     newest = df.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(F.max(version).alias("_newest"))
-    on = same_key(df, newest, [(k, f"_k_{k}") for k in keys]) & (df[version] == newest["_newest"])
-    kept = df.join(newest, on, "left_semi")
+    kept = join_groups(
+        df, newest, [(k, f"_k_{k}") for k in keys], "left_semi", nulls_match=True, also=df[version] == newest["_newest"]
+    )
     return kept.distinct() if distinct else kept
 
 

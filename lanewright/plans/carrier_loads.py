@@ -11,6 +11,7 @@ from lanewright.functions.dates import day, moment, to_local
 from lanewright.functions.quantities import utilisation
 from lanewright.operators.joins import consolidate
 from lanewright.plans.trailer_plan import COUNTRY, INVOICE_DAYS, STORE_FREIGHT, store_loads, with_zone
+from lanewright.operators.scans import join_groups
 from lanewright.session import staged
 from lanewright.sources.datasets import delete_matching, delete_orphans, merge_upsert
 
@@ -91,14 +92,15 @@ def combined(
     loads = consolidate(modern_loads, legacy_loads, LANE_KEYS, LOAD_COLUMNS, lineage, "load_id")
     volume = (
         invoice_summary.filter(F.col("invoice_date") >= day(now, -INVOICE_DAYS))
-        .groupBy("load_id")
+        .groupBy(F.col("load_id").alias("_load"))
         .agg(
             F.sum("case_qty").alias("total_cases"),
             F.sum("cube_qty").alias("total_cube"),
             F.sum("weight_qty").alias("total_weight"),
         )
     )
-    return loads.join(volume, "load_id", "left").withColumn("trailer_util_pct", utilisation(F.col("total_cube")))
+    rows = join_groups(loads, volume, [("load_id", "_load")], "left").drop("_load")
+    return rows.withColumn("trailer_util_pct", utilisation(F.col("total_cube")))
 
 
 def refresh_tracking(

@@ -12,7 +12,7 @@ from lanewright.functions.dates import day
 from lanewright.functions.nulls import safe_ratio
 from lanewright.functions.quantities import allocate
 from lanewright.operators.calendar import rolling_mean, year_over_year
-from lanewright.operators.scans import same_key, totals_over
+from lanewright.operators.scans import join_groups, totals_over
 
 # Import facilities, order states, look-back periods and minimum sample.
 IMPORT_SITES = rules.STORAGE_SITES + rules.FLOW_SITES
@@ -57,9 +57,7 @@ def shipment_lines(shipments: DataFrame, now: dt.datetime) -> DataFrame:
     booking = rows.groupBy(F.col("booking_po_nbr").alias("_b"), F.col("item_nbr").alias("_i")).agg(
         F.sum("order_qty").alias("total_vnpk_ord_qty")
     )
-    lines = lines.join(
-        booking, same_key(lines, booking, [("booking_po_nbr", "_b"), ("item_nbr", "_i")]), "inner"
-    )
+    lines = join_groups(lines, booking, [("booking_po_nbr", "_b"), ("item_nbr", "_i")], "inner", nulls_match=True)
     c = F.col
     return lines.select(
         *SHIPMENT_KEYS[:13],
@@ -73,13 +71,13 @@ def shipment_lines(shipments: DataFrame, now: dt.datetime) -> DataFrame:
     )
 
 
-def container_tracking(containers: DataFrame, now: dt.datetime) -> DataFrame:
-    """Recent containers with milestone durations and the state of the latest milestone."""
+def container_tracking(containers: DataFrame, now: dt.datetime, ordered: bool = False) -> DataFrame:
+    """Recent containers with milestone durations and the latest milestone's state; ``ordered``: latest first."""
     recent = containers.filter(
         (F.col("vessel_departure_ts") >= day(now, -TRACKING_DAYS)) & F.col("container_id").isNotNull()
     )
     c = F.col
-    return recent.select(
+    rows = recent.select(
         "container_id", "booking_po_nbr", "vessel_name", "voyage_nbr", "origin_port_code", "origin_port_name",
         "dest_port_code", "dest_port_name", "container_size_code", "container_type_code", *MILESTONES,
         F.datediff("vessel_arrival_ts", "vessel_departure_ts").alias("ocean_transit_days"),
@@ -88,6 +86,7 @@ def container_tracking(containers: DataFrame, now: dt.datetime) -> DataFrame:
         rules.milestone_status([(c(ts), state) for ts, state in CONTAINER_STATES], "PENDING").alias("container_status"),
         "teu_count", "total_cartons", "total_units", "total_cube_ft", "total_weight_lbs",
     )
+    return rows.orderBy(F.desc("vessel_departure_ts")) if ordered else rows
 
 
 def received_by_date(receiver_lines: DataFrame, receivers: DataFrame) -> DataFrame:
@@ -211,15 +210,18 @@ def lane_metrics(milestones: DataFrame) -> DataFrame:
     )
 
 
-def lead_time_trends(metrics: DataFrame, calendar_aware: bool = False) -> DataFrame:
-    """Lane months beside last year's, with rolling mean, trend and grade (one row per lane and month)."""
+def lead_time_trends(metrics: DataFrame, calendar_aware: bool = False, ordered: bool = False) -> DataFrame:
+    """Lane months beside last year's, with rolling mean, trend and grade (one row per lane and month).
+
+    ``ordered`` sorts by country and facility, latest month first.
+    """
     rows = year_over_year(
         metrics, LANE, "ship_year", "ship_month",
         {"avg_lead_time_ly": "avg_lead_time", "p90_lead_time_ly": "p90_lead_time"}, calendar_aware,
     )
     rows = rolling_mean(rows, "avg_lead_time", LANE, ["ship_year", "ship_month"], 3, "rolling_3mo_avg")
     value, last_year = F.col("avg_lead_time"), F.col("avg_lead_time_ly")
-    return rows.withColumns(
+    rows = rows.withColumns(
         {
             "avg_lead_time_yoy_change": value - last_year,
             "avg_lead_time_yoy_pct": F.round(safe_ratio(value - last_year, last_year) * 100, 1),
@@ -227,3 +229,6 @@ def lead_time_trends(metrics: DataFrame, calendar_aware: bool = False) -> DataFr
             "lane_performance": rules.lane_performance(F.col("p90_lead_time")),
         }
     )
+    if not ordered:
+        return rows
+    return rows.orderBy("origin_country_code", "dest_facility_nbr", F.desc("ship_year"), F.desc("ship_month"))

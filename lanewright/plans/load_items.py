@@ -74,12 +74,16 @@ def lane_metrics(summary: DataFrame) -> DataFrame:
         )
         .filter(F.col("load_count") >= MIN_LANE_LOADS)
     )
-    medians = exact_percentiles(delivered, ["origin_location_id"], "trailer_util_pct", {"median_utilization": 0.5})
+    # utilisation takes any value, so its median is found in slices of a thousandth
+    medians = exact_percentiles(
+        delivered, ["origin_location_id"], "trailer_util_pct", {"median_utilization": 0.5},
+        chunk=F.floor(F.col("trailer_util_pct") * 1000),
+    )
     return lanes.join(medians, "origin_location_id", "left")
 
 
-def load_performance(summary: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Every load beside its lane's figures and fiscal calendar."""
+def load_performance(summary: DataFrame, calendar: DataFrame, ordered: bool = False) -> DataFrame:
+    """Every load beside its lane's figures and fiscal calendar; ``ordered``: latest first."""
     lane = lane_metrics(summary).select(
         "origin_location_id", "dest_location_id", F.col("load_count").alias("lane_load_count"),
         F.col("avg_utilization").alias("lane_avg_utilization"), F.col("avg_transit_hours").alias("lane_avg_transit"),
@@ -88,7 +92,7 @@ def load_performance(summary: DataFrame, calendar: DataFrame) -> DataFrame:
         F.col("calendar_date").alias("_day"), "fiscal_year_week_nbr", "fiscal_year_nbr", "fiscal_week_nbr",
         "day_of_week_name",
     )
-    return (
+    rows = (
         summary.join(lane, ["origin_location_id", "dest_location_id"], "left")
         .withColumn(
             "utilization_performance", rules.versus_lane(F.col("trailer_util_pct"), F.col("lane_avg_utilization"))
@@ -97,3 +101,4 @@ def load_performance(summary: DataFrame, calendar: DataFrame) -> DataFrame:
         .join(fiscal, "_day", "inner")
         .drop("_day")
     )
+    return rows.orderBy(F.desc("ready_ts")) if ordered else rows

@@ -327,8 +327,13 @@ def transfer_shipments(
 
 def outbound_volume(
     headers: DataFrame, lines: DataFrame, items: DataFrame, orders: DataFrame, lanes: DataFrame, calendar: DataFrame,
-    now: dt.datetime,
+    now: dt.datetime, distinct: bool = True,
 ) -> DataFrame:
-    """Storage and transfer shipments as one distinct table."""
+    """Storage and transfer shipments as one table.
+
+    The branches never share a row (``part_no`` differs) and each is unique by its
+    grouping, so ``distinct=False`` gives the same rows without the last shuffle.
+    """
     tables = (headers, lines, items, orders, lanes, calendar, now)
-    return storage_shipments(*tables).unionByName(transfer_shipments(*tables)).distinct()
+    both = storage_shipments(*tables).unionByName(transfer_shipments(*tables))
+    return both.distinct() if distinct else both

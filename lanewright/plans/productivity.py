@@ -60,8 +60,11 @@ def phone_support(calls: DataFrame, now: dt.datetime) -> DataFrame:
     return sequenced(rows, 3, "call_time")
 
 
-def productivity(sources: list[DataFrame], locations: DataFrame) -> DataFrame:
-    """All activities with daily totals, the previous cumulative figure and the day's status."""
+def productivity(sources: list[DataFrame], locations: DataFrame, ordered: bool = False) -> DataFrame:
+    """All activities with daily totals, the previous cumulative figure and the day's status.
+
+    ``ordered`` sorts by technician, day and position.
+    """
     place = locations.select("location_id", "region_name", "district_name")
     rows = reduce(lambda a, b: a.unionByName(b), sources).join(place, "location_id", "inner")
     daily: dict[str, Column] = {
@@ -73,4 +76,6 @@ def productivity(sources: list[DataFrame], locations: DataFrame) -> DataFrame:
         rows, ["tech_id"], ["activity_date", "activity_seq", "_source", "workorder_id"], chunk=F.col("activity_date"),
         prev={"prev_cumulative": "cumulative_minutes"},
     )
-    return rows.withColumn("productivity_status", rules.productivity_status(F.col("total_daily_minutes"))).drop("_source")
+    rows = rows.withColumn("productivity_status", rules.productivity_status(F.col("total_daily_minutes")))
+    rows = rows.drop("_source")
+    return rows.orderBy("tech_id", "activity_date", "activity_seq") if ordered else rows

@@ -13,6 +13,7 @@ from lanewright.operators.events import (
     drop_superseded, pair_by_position, precedence_union, segments_from_changes,
 )
 from lanewright.operators.joins import either_key_join, interval_join
+from lanewright.operators.scans import without_match
 from lanewright.session import staged
 
 # Sources that correct earlier phone entries, the test user, and the call actions.
@@ -118,8 +119,10 @@ def ivr_activity(calls: DataFrame, now: dt.datetime) -> DataFrame:
         "tracking_number", F.col("ivr_date_time").alias("check_out"), F.col("ivr_id").alias("out_id")
     )
     pairs = pair_by_position(starts, ends, "tracking_number", "check_in", "check_out", ["ivr_id"], ["out_id"])
-    orders = calls.select(F.col("tracking_number").alias("tracking_nbr")).distinct()
-    rows = orders.join(pairs, orders["tracking_nbr"] == pairs["tracking_number"], "left")
+    # every tracking number has a row, also those that never checked in
+    numbers = calls.select("tracking_number").distinct()
+    silent = without_match(numbers, starts, [("tracking_number", "tracking_number")])
+    rows = pairs.unionByName(silent, allowMissingColumns=True).withColumnRenamed("tracking_number", "tracking_nbr")
     out = F.coalesce(F.col("check_out"), F.col("last_check_out"))
     # a check-out before its check-in is dropped once the check-in is a week old
     stale = F.coalesce((out < F.col("check_in")) & (F.col("check_in") < moment(now, days=-7)), F.lit(False))

@@ -18,7 +18,7 @@ from lanewright.functions.quantities import non_breakpack_cases, pack_volume
 from lanewright.operators.calendar import dense_grid, forward_fill, neighbour_flag
 from lanewright.operators.events import door_window, milestone_pivot, repair_gaps
 from lanewright.operators.joins import by_priority, consolidate, date_window_or_ids, interval_join
-from lanewright.operators.scans import same_key, totals_over
+from lanewright.operators.scans import join_groups, totals_over
 from lanewright.operators.versions import first_versions, latest_version, singleton_only
 from lanewright.session import staged
 from lanewright.sources.datasets import delete_matching, merge_upsert
@@ -64,11 +64,14 @@ def with_zone(rows: DataFrame, on: str, locations: DataFrame, number: str, zones
 # -- stage 1 ---------------------------------------------------------------------------------
 
 
-def forecast_current(calendar: DataFrame, forecast: DataFrame, now: dt.datetime) -> DataFrame:
+def forecast_current(
+    calendar: DataFrame, forecast: DataFrame, now: dt.datetime, ordered: bool = False
+) -> DataFrame:
     """Latest forecast per location on a gap-free calendar, with must-ship days.
 
     Missing days take the plan of the last known same weekday. A (location, day) has
     one row after version choice, so the windows are bounded by the calendar.
+    ``ordered`` sorts by location and day.
     """
     keys = ["location_id", "cap_calendar_date"]
     latest = latest_version(forecast, keys, "run_datetime")
@@ -91,7 +94,7 @@ def forecast_current(calendar: DataFrame, forecast: DataFrame, now: dt.datetime)
     filled = forward_fill(laid, "delivery_type_code", ["location_id"], order, "_type")
     filled = forward_fill(filled, "daily_cap", ["location_id", "_weekday"], order, "daily_plan")
     filled = neighbour_flag(filled, "daily_plan", ["location_id"], order, "must_ship_flag")
-    return filled.select(
+    rows = filled.select(
         F.coalesce("run_datetime", moment(now)).alias("run_datetime"),
         "location_id",
         F.col("_type").alias("delivery_type_code"),
@@ -101,6 +104,7 @@ def forecast_current(calendar: DataFrame, forecast: DataFrame, now: dt.datetime)
         F.when(F.col("daily_plan") > 0, 1).otherwise(0).alias("daily_flag"),
         "must_ship_flag",
     )
+    return rows.orderBy("location_id", "cap_calendar_date") if ordered else rows
 
 
 # -- stage 2 ---------------------------------------------------------------------------------
@@ -498,13 +502,14 @@ def dashboard_base(plan: DataFrame, stores: DataFrame, dc_dim: DataFrame, distin
             daily.select("store_nbr", "projected_date", "next_day_plan", "carry_over_count"),
             ["store_nbr", "projected_date"], "left",
         )
-        .join(weekly, ["store_nbr", "projected_year_wk_nbr"], "left")
         .withColumn("total_carry_overs", F.coalesce("carry_over_count", F.lit(0)))
         .drop("carry_over_count")
     )
-    joined = joined.join(
-        actual, same_key(joined, actual, [("store_nbr", "_store"), ("projected_date", "_day")]), "inner"
-    ).drop("_store", "_day")
+    weekly = weekly.withColumnsRenamed({"store_nbr": "_w_store", "projected_year_wk_nbr": "_week"})
+    joined = join_groups(joined, weekly, [("store_nbr", "_w_store"), ("projected_year_wk_nbr", "_week")], "left")
+    joined = join_groups(
+        joined, actual, [("store_nbr", "_store"), ("projected_date", "_day")], "inner", nulls_match=True
+    ).drop("_store", "_day", "_w_store", "_week")
     return joined.withColumn(
         "plan_compliance_flag",
         rules.plan_compliance(

@@ -13,10 +13,15 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a hot key of a join even where the next step then needs a shuffle
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.ui.enabled": "false",
 }
 
+# what may still be set on a running session
+_RUNTIME = [name for name in SETTINGS if name.startswith("spark.sql.")]
+
 _local_folder: tempfile.TemporaryDirectory | None = None
 
 
@@ -29,6 +34,13 @@ def build_session(app: str, master: str | None = None, **settings: str) -> Spark
     return builder.getOrCreate()
 
 
+def configure(spark: SparkSession) -> SparkSession:
+    """Apply the SQL settings to a session somebody else built."""
+    for name in _RUNTIME:
+        spark.conf.set(name, SETTINGS[name])
+    return spark
+
+
 def shared_folder(spark: SparkSession) -> str | None:
     """Folder every executor can reach: the one the session names in ``spark.checkpoint.dir``.
 

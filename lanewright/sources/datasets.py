@@ -10,14 +10,14 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Sequence
-from functools import reduce
-from operator import and_
 from typing import TypeVar
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lanewright.operators.scans import join_groups, without_match
+
 Result = TypeVar("Result")
 
 _COMMIT_SCHEMA = "version long, committed_at timestamp_ntz, expires_at timestamp_ntz"
@@ -109,7 +109,6 @@ def merge_upsert(
     once = source.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(
         F.count(F.lit(1)).alias("_n"), F.any_value(F.struct(*[F.col(c) for c in taken])).alias("_new")
     )
-    match = reduce(and_, [target[k] == once[f"_k_{k}"] for k in keys])
     ambiguous = F.raise_error(F.lit("more than one source row matches a target row"))
     kept = []
     for name in target.columns:
@@ -119,9 +118,8 @@ def merge_upsert(
         new = F.when(once["_n"] > 1, ambiguous.cast(target.schema[name].dataType)).otherwise(once["_new"][name])
         value = F.when(once["_n"].isNotNull(), new.cast(target.schema[name].dataType)).otherwise(target[name])
         kept.append(value.alias(name))
-    updated = target.join(once, match, "left").select(*kept)
-    known = target.select(*[F.col(k).alias(f"_t_{k}") for k in keys])
-    fresh = source.join(known, reduce(and_, [source[k] == known[f"_t_{k}"] for k in keys]), "left_anti").select(
+    updated = join_groups(target, once, [(k, f"_k_{k}") for k in keys], "left").select(*kept)
+    fresh = without_match(source, target, [(k, k) for k in keys]).select(
         *[
             (F.col(f.name) if f.name in set(insert) else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in target.schema.fields
@@ -132,7 +130,7 @@ def merge_upsert(
 
 def delete_matching(target: DataFrame, cancelled: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``target`` without the rows whose keys are on the ``cancelled`` list (NULL keys stay)."""
-    return target.join(cancelled.select(*keys), list(keys), "left_anti")
+    return without_match(target, cancelled, [(k, k) for k in keys])
 
 
 def delete_orphans(target: DataFrame, source: DataFrame, key: str, date: str) -> DataFrame:
@@ -141,8 +139,8 @@ def delete_orphans(target: DataFrame, source: DataFrame, key: str, date: str) ->
     Keys that were not refreshed and rows without a date stay.
     """
     ranges = source.groupBy(F.col(key).alias("_key")).agg(F.min(date).alias("_lo"), F.max(date).alias("_hi"))
-    outside = (target[key] == ranges["_key"]) & ~target[date].between(ranges["_lo"], ranges["_hi"])
-    return target.join(ranges, outside, "left_anti")
+    outside = ~target[date].between(ranges["_lo"], ranges["_hi"])
+    return join_groups(target, ranges, [(key, "_key")], "left_anti", also=outside)
 
 
 def quality_row(
