@@ -3,17 +3,26 @@
 from __future__ import annotations
 
 import datetime as dt
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _SECONDS = {"second": 1, "minute": 60, "hour": 3600}
 
+# Fixed value: zone whose calendar day counts as "today" for facilities data.
+HOME_ZONE = "America/Chicago"
+
 
 def as_date(as_of: dt.date | dt.datetime) -> dt.date:
     return as_of.date() if isinstance(as_of, dt.datetime) else as_of
 
 
+def home_date(now: dt.datetime) -> dt.date:
+    """Calendar day of a UTC run time in the home zone."""
+    return now.replace(tzinfo=dt.timezone.utc).astimezone(ZoneInfo(HOME_ZONE)).date()
+
+
 def day(as_of: dt.date | dt.datetime, offset: int = 0) -> Column:
     """Date literal ``as_of`` + ``offset`` days."""
     return F.lit(as_date(as_of) + dt.timedelta(days=offset))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lanewright.functions import rules
-from lanewright.functions.dates import datetime_diff, day, moment
+from lanewright.functions.dates import datetime_diff, day, home_date, moment
 from lanewright.operators.events import (
     drop_superseded, pair_by_position, precedence_union, segments_from_changes,
 )
@@ -93,7 +93,7 @@ def ftm_activity(mobile: DataFrame, people: DataFrame, providers: DataFrame, now
         ).alias("full_name"),
         F.upper("work_type").alias("work_type"),
         c("check_in_date_time").cast("timestamp_ntz").alias("check_in_datetime"),
-        F.when(out < day(now).cast("timestamp_ntz"), out).alias("check_out_datetime"),
+        F.when(out < day(home_date(now)).cast("timestamp_ntz"), out).alias("check_out_datetime"),
         c("tracking_number").alias("tracking_nbr"),
         F.lit("ftm").alias("src"),
     ).distinct()

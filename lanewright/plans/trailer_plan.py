@@ -18,7 +18,7 @@ from lanewright.functions.quantities import non_breakpack_cases, pack_volume
 from lanewright.operators.calendar import dense_grid, forward_fill, neighbour_flag
 from lanewright.operators.events import door_window, milestone_pivot, repair_gaps
 from lanewright.operators.joins import by_priority, consolidate, date_window_or_ids, interval_join
-from lanewright.operators.scans import join_groups, totals_over
+from lanewright.operators.scans import count_distinct_over, join_groups, totals_over
 from lanewright.operators.versions import first_versions, latest_version, singleton_only
 from lanewright.session import staged
 from lanewright.sources.datasets import delete_matching, merge_upsert
@@ -107,6 +107,14 @@ def forecast_current(
     return rows.orderBy("location_id", "cap_calendar_date") if ordered else rows
 
 
+def forecast_filled(forecast: DataFrame) -> DataFrame:
+    """Condensed form for a forecast that already has one row per location and calendar day."""
+    rows = forecast.withColumn("_weekday", F.dayofweek("calendar_date"))
+    rows = forward_fill(rows, "daily_cap", ["location_id", "_weekday"], ["calendar_date"], "daily_plan")
+    rows = neighbour_flag(rows, "daily_plan", ["location_id"], ["calendar_date"], "must_ship_flag")
+    return rows.select("location_id", "calendar_date", "daily_plan", "must_ship_flag")
+
+
 # -- stage 2 ---------------------------------------------------------------------------------
 
 
@@ -518,6 +526,28 @@ def dashboard_base(plan: DataFrame, stores: DataFrame, dc_dim: DataFrame, distin
     ).drop("_max_plan")
 
 
+def dashboard_summary(rows: DataFrame, daily: DataFrame, now: dt.datetime) -> DataFrame:
+    """Condensed dashboard: daily and weekly actuals, compliance up to today, utilisation bucket.
+
+    ``daily`` has a row per store, week and load with plan and forecast; a load counts once a week.
+    """
+    weekly = daily.groupBy(F.col("store_nbr").alias("_store"), F.col("year_wk_nbr").alias("_week")).agg(
+        F.sum("daily_plan").alias("weekly_plan"),
+        F.sum("forecast").alias("weekly_forecast"),
+        F.count_distinct("load_id").alias("weekly_actual"),
+    )
+    counted = count_distinct_over(rows, ["store_nbr", "projected_date"], "load_id", "daily_actual")
+    joined = join_groups(counted, weekly, [("store_nbr", "_store"), ("year_wk_nbr", "_week")], "left")
+    return joined.drop("_store", "_week").withColumns(
+        {
+            "plan_compliance_flag": rules.plan_compliance(
+                F.col("projected_date"), day(now), F.col("daily_actual"), F.col("daily_plan")
+            ),
+            "utilization_bucket": rules.utilisation_bucket(F.col("cube_qty"), F.col("trlr_util_pct")),
+        }
+    )
+
+
 def attribution_levels(summary: DataFrame) -> DataFrame:
     """Category, area and reason of every store-day from the short attribution rules."""
     c = F.col

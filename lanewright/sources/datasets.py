@@ -16,6 +16,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lanewright.functions.dates import home_date
 from lanewright.operators.scans import join_groups, without_match
 
 Result = TypeVar("Result")
@@ -80,8 +81,8 @@ def snapshot_path(base: str, as_of: dt.date) -> str:
 
 
 def snapshot(df: DataFrame, base: str, taken_at: dt.datetime, ttl_days: int = 720) -> str:
-    """Dated copy ``<base>_yyyymmdd`` that expires after ``ttl_days``; returns its path."""
-    path = snapshot_path(base, taken_at.date())
+    """Copy named after the home-zone day, ``<base>_yyyymmdd``, that expires after ``ttl_days``; returns its path."""
+    path = snapshot_path(base, home_date(taken_at))
     write_version(df, path, taken_at, expires_at=taken_at + dt.timedelta(days=ttl_days))
     return path
 

@@ -97,4 +97,4 @@ def test_trailer_plan_job(spark, tmp_path):
 
 def test_backup(spark, tmp_path):
     path = jobs.backup_core_data(jobs.Warehouse(spark, str(tmp_path), dt.datetime(2024, 1, 31, 5)), spark.range(3))
-    assert path.endswith("core_data_20240131") and datasets.read_current(spark, path).count() == 3
+    assert path.endswith("core_data_20240130") and datasets.read_current(spark, path).count() == 3
