@@ -14,6 +14,7 @@ from lanewright.functions.dates import epoch_seconds
 from lanewright.operators.scans import without_match
 
 Pairs = Sequence[tuple[str, str]]
+_ROUTES = "array<struct<route:int,slot:bigint>>"
 
 
 def _equal(left: DataFrame, right: DataFrame, on: Pairs) -> Column:
@@ -166,21 +167,31 @@ def date_window_or_ids(
 
     Returns the matched pairs plus every base row once with empty facts, so that a
     following group-by on the base columns behaves like one over a left join (sums and
-    maxima skip the empty row). Names of the two sides must not overlap. The window is
-    laid on time buckets; the id matches are those the window left out.
+    maxima skip the empty row). Names of the two sides must not overlap.
+
+    One equi join: base rows are repeated for each time bucket of their window and once
+    for their ids, facts once for the bucket of their date and once for their ids. The
+    second route leaves out what the first one matches.
     """
     width = bucket_hours * 3600
-    span = F.sequence(F.floor(epoch_seconds(base[start]) / width), F.floor(epoch_seconds(base[end]) / width))
-    laid = base.filter(base[start] <= base[end]).withColumn("_bucket", F.explode(span))
-    dated = facts.withColumn("_at_bucket", F.floor(epoch_seconds(facts[at]) / width))
-    in_window = laid.join(
-        dated,
-        _equal(laid, dated, on)
-        & (laid["_bucket"] == dated["_at_bucket"])
-        & dated[at].between(laid[start], laid[end]),
-        "inner",
-    ).drop("_bucket", "_at_bucket")
-    outside = ~F.coalesce(facts[at].between(base[start], base[end]), F.lit(False))
-    by_ids = base.join(facts, _equal(base, facts, [*on, *ids]) & outside, "inner")
-    matched = in_window.unionByName(by_ids).drop(*[b for _, b in on])
-    return matched.unionByName(base, allowMissingColumns=True)
+
+    def routed(df: DataFrame, buckets: Column, keys: Sequence[str], side: str) -> DataFrame:
+        # the route's slot is a hash; the exact comparison follows in the join condition
+        by_date = F.transform(buckets, lambda b: F.struct(F.lit(1).alias("route"), F.xxhash64(b).alias("slot")))
+        by_ids = F.array(F.struct(F.lit(2).alias("route"), F.xxhash64(*[df[k] for k in keys]).alias("slot")))
+        way = F.explode(F.concat(F.coalesce(by_date, F.array().cast(_ROUTES)), by_ids))
+        return df.select("*", way.alias(f"_{side}"))
+
+    def bucket(date: Column) -> Column:
+        return F.floor(epoch_seconds(date) / width)
+
+    span = F.when(base[start] <= base[end], F.sequence(bucket(base[start]), bucket(base[end])))
+    left = routed(base, span, [a for a, _ in ids], "base")
+    right = routed(facts, F.array(bucket(facts[at])), [b for _, b in ids], "fact")
+    dated = right[at].between(left[start], left[end])
+    exact = F.when(left["_base.route"] == 1, dated).otherwise(
+        _equal(left, right, ids) & ~F.coalesce(dated, F.lit(False))
+    )
+    same_way = (left["_base.route"] == right["_fact.route"]) & (left["_base.slot"] == right["_fact.slot"])
+    matched = left.join(right, _equal(left, right, on) & same_way & exact, "inner")
+    return matched.drop("_base", "_fact", *[b for _, b in on]).unionByName(base, allowMissingColumns=True)
