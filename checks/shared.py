@@ -15,15 +15,15 @@ def calendar(source: str, column: str) -> Source:
     """Calendar from the first to a month after the last date of a table's column."""
     return Source(
         spark=f"""
-          SELECT d AS calendar_date, year(d) * 100 + w AS year_wk_nbr, year(d) AS year_nbr, w AS week_nbr,
+          SELECT d AS calendar_date, year(d) * 100 + w AS year_wk_nbr, CAST(year(d) AS BIGINT) AS year_nbr, w AS week_nbr,
                  date_format(d, 'EEEE') AS week_day_name
-          FROM (SELECT d, CAST(floor((dayofyear(d) + 7 - dayofweek(d)) / 7) AS INT) AS w
+          FROM (SELECT d, CAST(floor((dayofyear(d) + 7 - dayofweek(d)) / 7) AS BIGINT) AS w
                 FROM (SELECT explode(sequence(CAST(min({column}) AS DATE), date_add(CAST(max({column}) AS DATE), 30))) AS d
                       FROM {{{source}}}))""",
         other=f"""
           SELECT d AS calendar_date, year(d) * 100 + w AS year_wk_nbr, year(d) AS year_nbr, w AS week_nbr,
                  dayname(d) AS week_day_name
-          FROM (SELECT d, CAST(strftime(d, '%U') AS INT) AS w
+          FROM (SELECT d, CAST(strftime(d, '%U') AS BIGINT) AS w
                 FROM (SELECT CAST(unnest(generate_series(CAST(min({column}) AS DATE),
                                                          CAST(max({column}) AS DATE) + 30, INTERVAL 1 DAY)) AS DATE) AS d
                       FROM {source}))""",
