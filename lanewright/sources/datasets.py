@@ -120,7 +120,10 @@ def merge_upsert(
         value = F.when(once["_n"].isNotNull(), new.cast(target.schema[name].dataType)).otherwise(target[name])
         kept.append(value.alias(name))
     updated = join_groups(target, once, [(k, f"_k_{k}") for k in keys], "left").select(*kept)
-    fresh = without_match(source, target, [(k, k) for k in keys]).select(
+    # only the target keys the source names take part, so a small increment never shuffles the target
+    named = source.select(*[F.col(k).alias(f"_s_{k}") for k in keys])
+    present = join_groups(target.select(*keys), named, [(k, f"_s_{k}") for k in keys], "left_semi")
+    fresh = without_match(source, present, [(k, k) for k in keys]).select(
         *[
             (F.col(f.name) if f.name in set(insert) else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in target.schema.fields

@@ -96,3 +96,13 @@ def test_first_versions_combine_before_the_shuffle(spark):
         F.lit("STR").alias("freight_category_code"))
     plan = trailer_plan.assigned_versions(history)._jdf.queryExecution().executedPlan().toString()
     assert "partial_min" in plan
+
+
+def test_small_increment_never_shuffles_the_target(spark):
+    target = spark.read.parquet(f"{SF_DIR}/orders.parquet").select("o_orderkey", "o_orderstatus")
+    source = spark.read.parquet(f"{SF_DIR}/supplier.parquet").select(
+        F.col("s_suppkey").alias("o_orderkey"), F.lit("X").alias("o_orderstatus"))
+    merged = datasets.merge_upsert(target, source, ["o_orderkey"], ["o_orderstatus"], ["o_orderkey", "o_orderstatus"])
+    plan = executed(merged)
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") >= 2
+    assert merged.filter("o_orderstatus = 'X'").count() == source.count() and merged.count() == target.count()
