@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanewright.llm import bpe
+from lanewright.llm import bpe, decontaminate, pii, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -22,6 +22,65 @@ def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
     return build
 
 
+@query
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside a window of the benchmark, and the items found."""
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    size = F.expr("aggregate(spans, 0L, (n, s) -> n + s.end - s.start)")
+    return found.select(
+        "doc_id", "n_words", size.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"),
+    )
+
+
+SQL["op1_decontaminate"] = r"""
+WITH lowered AS (
+  SELECT row_number() OVER () AS row, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+items AS (
+  SELECT CAST(item_id AS VARCHAR) AS item,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+windows AS (
+  SELECT DISTINCT item, least(len(w), 10) AS n, array_to_string(list_slice(w, p, p + least(len(w), 10) - 1), ' ') AS k
+  FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS p FROM items WHERE len(w) > 0)),
+places AS (
+  SELECT row, n, p, array_to_string(list_slice(w, p, p + n - 1), ' ') AS k
+  FROM (SELECT row, w, n, unnest(range(1, len(w) - n + 2)) AS p
+        FROM lowered, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n)),
+found AS (SELECT row, p, n, item FROM places JOIN windows USING (n, k)),
+hit AS (SELECT row, count(DISTINCT q) AS n_hit FROM (SELECT row, unnest(range(p, p + n)) AS q FROM found) GROUP BY row),
+named AS (
+  SELECT row, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+  FROM (SELECT DISTINCT row, item FROM found) GROUP BY row)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM lowered LEFT JOIN hit USING (row) LEFT JOIN named USING (row)
+"""
+
+
+def listed(spans: str) -> Column:
+    """Spans as kind:start:end, joined by commas."""
+    return F.concat_ws(",", F.expr(f"transform({spans}, s -> concat_ws(':', s.kind, s.start, s.end))"))
+
+
+def counted(kind: str, also: str = "true") -> Column:
+    return F.expr(f"cast(size(filter(spans, s -> s.kind = '{kind}' and {also})) as bigint)")
+
+
+@query
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: the fixed patterns' and the token-efficiency test's."""
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", *(counted(k).alias(f"n_{k}") for k in secrets.KINDS),
+        F.sha2(listed("filter(spans, s -> s.kind <> 'random')"), 256).alias("base_sha256"), listed("spans").alias("spans"),
+    )
+
+
 @query
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document and their decoded text."""
@@ -35,3 +94,13 @@ def token_digests(tokens: DataFrame) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: the fixed patterns' and the field's."""
+    found = pii.find(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", *(counted(k, "s.base").alias(f"n_{k}") for k in pii.KINDS),
+        F.sha2(listed("filter(spans, s -> s.base)"), 256).alias("base_sha256"), listed("spans").alias("spans"),
+    )
