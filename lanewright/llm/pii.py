@@ -85,8 +85,11 @@ TOKEN = re.compile(r"[A-Za-z]+|[0-9]+|\s+|[^A-Za-z0-9\s]")
 #: Stretches: chunks with a digit or an @, or spelled-out parts of an address, with at most a blank between them.
 CHUNK = r"(?:[^\s@0-9]{0,64}[@0-9]\S*|\(?(?:at|dot)\)?|\[(?:at|dot)\])"
 STRETCH = re.compile(rf"(?<!\S)(?:[A-Za-z][A-Za-z._-]*\x20(?=[(\[]?at[)\]]?\x20))?{CHUNK}(?:\x20(?:{CHUNK}|[A-Za-z-]+(?=\x20[(\[]?dot[)\]]?\x20)|(?<=dot\x20)[A-Za-z]{{2,6}}|(?<=dot\)\x20)[A-Za-z]{{2,6}}|(?<=dot\]\x20)[A-Za-z]{{2,6}})(?!\S))*")
-WORTH = re.compile(r"[0-9](?:[^0-9\s]?[\x20]?[^0-9\s]?[0-9]){6}|@|\bat\b.*\bdot\b")
+WORTH = re.compile(r"[0-9](?:[^0-9\s]?[\x20]?[^0-9\s]?[0-9]){6}|@|\bdot\b")
+#: Longer stretches are cut into pieces of so many characters.
+STRETCH_CHARS = 400
 SPELLED_AT, SPELLED_DOT = re.compile(r"\x20[(\[]?at[)\]]?\x20"), re.compile(r"\x20[(\[]?dot[)\]]?\x20")
+HOST = re.compile(r"[@\x20.][A-Za-z0-9-]+(?:\.|\x20[(\[]?dot[)\]]?\x20)[A-Za-z]{2,6}$")
 NAMES = {"email": "mail email contact write", "ip": "ip address host server", "card": "card visa credit account", "phone": "tel phone call fax mobile"}
 CUES = {word: kind for kind, words in NAMES.items() for word in words.split()}
 LABELS = (None, *KINDS)
@@ -114,9 +117,9 @@ def features(text: str, before: str, after: str, cue: str) -> list[str]:
         if len(groups) == 4 and marks == ".":
             out.append(f"octets={all(len(g) <= 3 and int(g) <= 255 for g in groups)}")
     else:
-        out.append(f"spelled={spelled}:{min(dot, 2)}:{at}")
+        out.append(f"spelled={spelled}:{min(dot, 1)}:{min(at, 2)}")
         out.append(f"blank={' ' in text}")
-        out.append(f"host={bool(re.search(r'[@ .][A-Za-z0-9-]+(?:[.]| [(]?dot[)]? | [[]?dot[]]? )[A-Za-z]{2,6}$', text))}")
+        out.append(f"host={bool(HOST.search(text))}")
     if cue:
         out.append(f"cue={cue}")
     return out
@@ -139,7 +142,7 @@ class Stretch:
                 if not text[b - 1].isalnum():
                     continue
                 piece = text[a:b]
-                if sum(map(str.isdigit, piece)) >= 7 or "@" in piece or SPELLED_AT.search(piece) and SPELLED_DOT.search(piece):
+                if 7 <= sum(map(str.isdigit, piece)) <= 24 or "@" in piece or SPELLED_AT.search(piece) and SPELLED_DOT.search(piece):
                     if piece.isascii():
                         self.segments.append((i, j + 1, features(piece, text[a - 1 : a], text[b : b + 1], cue)))
 
@@ -267,7 +270,8 @@ def stretches(text: str) -> Iterator[tuple[int, int]]:
     """Places where personal data may stand; found in linear time."""
     for m in STRETCH.finditer(text):
         if WORTH.search(m[0]):
-            yield m.span()
+            for start in range(m.start(), m.end(), STRETCH_CHARS):
+                yield start, min(m.end(), start + STRETCH_CHARS)
 
 
 def variants(text: str, kind: str, rng: random.Random) -> list[str]:
