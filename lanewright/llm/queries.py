@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanewright.llm import bpe, decontaminate, pii, secrets
+from lanewright.llm import bpe, decontaminate, html, pii, secrets, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -81,6 +81,39 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    found = html.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+# the pages' articles hold b and br tags only; "&amp" may lack its semicolon where a title was cut
+SQL["op5_html"] = r"""
+WITH articles AS (
+  SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article[^>]*>(.*)</article>', 1) AS h FROM pages),
+stripped AS (
+  SELECT page_id, url, regexp_replace(regexp_replace(h, '</?b>', '', 'g'), '<[^>]*>', ' ', 'g') AS t FROM articles),
+decoded AS (
+  SELECT page_id, url,
+         replace(replace(replace(regexp_replace(t, '&amp;?', chr(1), 'g'), '&quot;', '"'), '&lt;', '<'), '&gt;', '>') AS t
+  FROM stripped),
+joined AS (SELECT page_id, url, trim(regexp_replace(replace(t, chr(1), '&'), '\s+', ' ', 'g')) AS text FROM decoded)
+SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM joined
+"""
+
+
+@query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labelled ones that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 @query
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document and their decoded text."""
