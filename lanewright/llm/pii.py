@@ -368,8 +368,12 @@ def all_spans(text: str, field: Field, min_probability: float = MIN_PROBABILITY)
 def train(docs: DataFrame, text: str = "text") -> Field:
     """A field for these documents; its sample is bounded by TRAINING_DOCS and TRAINING_CHARS."""
     rows = docs.select(docs[text].alias("text")).filter(F.col("text").rlike("[0-9@]"))
-    sample = rows.select(F.substring("text", 1, TRAINING_CHARS).alias("text"), F.xxhash64("text").alias("h"))
-    return trained([r.text for r in sample.orderBy("h", "text").limit(TRAINING_DOCS).collect()])
+    rows = rows.select(F.substring("text", 1, TRAINING_CHARS).alias("text"), F.xxhash64("text").alias("h"))
+    smallest = rows.select("h").orderBy("h").limit(TRAINING_DOCS)
+    last = smallest.agg(F.max("h")).first()[0]
+    if last is None:
+        return trained([])
+    return trained([r.text for r in rows.filter(F.col("h") <= last).distinct().orderBy("h", "text").limit(TRAINING_DOCS).collect()])
 
 
 SPANS = "array<struct<start:int,end:int,kind:string,base:boolean>>"

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanewright.llm import bpe, decontaminate, html, pii, secrets, toxicity
+from lanewright.llm import bpe, decontaminate, html, pii, secrets, spotsigs, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -128,6 +128,57 @@ def token_digests(tokens: DataFrame) -> DataFrame:
         F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256"),
     )
 
+@query
+def op8_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every document and of its edited text, and how much alike they are."""
+    found = spotsigs.robustness(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_chars", F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"),
+        F.concat_ws(" ", "fingerprint").alias("fingerprint"), F.concat_ws(" ", "edited_fingerprint").alias("edited_fingerprint"),
+        "near_edited", "near_next",
+    )
+
+
+def quoted(words: list[str]) -> str:
+    return ", ".join(f"'{w}'" for w in words)
+
+
+SQL["op8_spotsigs"] = rf"""
+WITH rows AS (
+  SELECT row_number() OVER (ORDER BY doc_id NULLS FIRST, text NULLS FIRST) AS row, doc_id, coalesce(text, '') AS text
+  FROM documents),
+after AS (
+  SELECT r.*, coalesce(lead(text) OVER (ORDER BY row), first(text) OVER (ORDER BY row)) AS next_text FROM rows r),
+edits AS (
+  SELECT row, doc_id, text, next_text,
+         left(text, length(text) - length(text) // 4) || left(next_text, length(text) // 4) AS edited FROM after),
+texts AS (SELECT DISTINCT unnest([text, edited]) AS t FROM edits),
+words AS (
+  SELECT t, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p
+  FROM (SELECT t, regexp_extract_all(lower(t), '[\p{{L}}\p{{N}}]+') AS w FROM texts)),
+marked AS (
+  SELECT *, word IN ({quoted(spotsigs.ANCHORS)}) AS anchor,
+         word NOT IN ({quoted([*spotsigs.ANCHORS, *spotsigs.COMMON])}) AS content FROM words),
+placed AS (
+  SELECT *, count(*) FILTER (content) OVER (PARTITION BY t ORDER BY p) AS k FROM marked),
+content AS (SELECT t, k, word FROM placed WHERE content),
+signatures AS (
+  SELECT DISTINCT a.t, substr(md5(' ' || b.word || ' ' || c.word), 1, 8) AS s
+  FROM placed a JOIN content b ON b.t = a.t AND b.k = a.k + 1 JOIN content c ON c.t = a.t AND c.k = a.k + 2
+  WHERE a.anchor),
+prints AS (
+  SELECT texts.t, CASE WHEN count(s) > 0 THEN list(s ORDER BY s)
+    ELSE [substr(md5('=' || CASE WHEN regexp_matches(texts.t, '[\p{{L}}\p{{N}}]')
+                 THEN ' ' || array_to_string(regexp_extract_all(lower(texts.t), '[\p{{L}}\p{{N}}]+'), ' ') || ' '
+                 ELSE texts.t END), 1, 8)] END AS f
+  FROM texts LEFT JOIN signatures ON signatures.t = texts.t GROUP BY texts.t)
+SELECT doc_id, CAST(length(text) AS BIGINT) AS n_chars, sha256(edited) AS edited_sha256,
+       array_to_string(a.f, ' ') AS fingerprint, array_to_string(b.f, ' ') AS edited_fingerprint,
+       len(list_intersect(a.f, b.f)) / (len(a.f) + len(b.f) - len(list_intersect(a.f, b.f)))::DOUBLE AS near_edited,
+       len(list_intersect(a.f, c.f)) / (len(a.f) + len(c.f) - len(list_intersect(a.f, c.f)))::DOUBLE AS near_next
+FROM edits JOIN prints a ON a.t = text JOIN prints b ON b.t = edited JOIN prints c ON c.t = next_text
+"""
+
 
 @query
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
