@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanewright.llm import bpe, decontaminate, html, pii, secrets, spotsigs, toxicity
+from lanewright.llm import bpe, decontaminate, html, ngram_join, pii, secrets, spotsigs, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -180,6 +180,36 @@ FROM edits JOIN prints a ON a.t = text JOIN prints b ON b.t = edited JOIN prints
 """
 
 
+@query
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near copies of every document: its component of links."""
+    return ngram_join.similar(table(spark, sf_dir, "documents"))
+
+
+SQL["op9_ngram_join"] = r"""
+WITH RECURSIVE words AS (
+  SELECT row_number() OVER () AS row, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT DISTINCT row, array_to_string(list_slice(w, p, p + least(len(w), 5) - 1), ' ') AS s
+  FROM (SELECT row, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS p FROM words WHERE len(w) > 0)),
+sizes AS (SELECT row, count(*) AS n FROM sets GROUP BY row),
+common AS (
+  SELECT a.row AS a, b.row AS b, count(*) AS k FROM sets a JOIN sets b ON a.s = b.s AND a.row <> b.row GROUP BY a.row, b.row),
+links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.row = a JOIN sizes y ON y.row = b WHERE 100 * k >= 80 * (x.n + y.n - k)),
+reach AS (
+  SELECT row AS a, row AS b FROM words
+  UNION
+  SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b),
+least_ids AS (SELECT reach.a AS row, min(words.doc_id) AS component_id FROM reach JOIN words ON words.row = reach.b GROUP BY reach.a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM words JOIN least_ids USING (row) LEFT JOIN sizes USING (row)
+"""
+
+
 @query
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every document: the fixed patterns' and the field's."""

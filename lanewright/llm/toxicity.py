@@ -25,9 +25,9 @@ from pyspark.sql import functions as F
 from lanewright.llm.batches import cuts, pieces, strings
 
 #: Labelled documents of each label that are used for training, those with the smallest hash of their id.
-TRAINING_ROWS = 6000
+TRAINING_ROWS = 4000
 #: Characters of a training document that are used.
-TRAINING_CHARS = 40_000
+TRAINING_CHARS = 20_000
 BUCKETS_LOG2 = 18
 DIMENSIONS = 8
 GRAMS = (3, 4, 5, 6)
@@ -134,10 +134,14 @@ def trained(texts: list[str], labels: list[int], share: float | None = None, epo
     rng = np.random.default_rng(seed)
     number: dict[str, int] = {}
     docs = [np.array([number.setdefault(w, len(number)) for w in words_of(t)], dtype=np.int32) for t in texts]
-    rows, of = subwords(list(number))
-    at = np.argsort(of, kind="stable")
-    rows, count = rows[at].astype(np.int32), np.bincount(of, minlength=len(number))
+    names, parts, counts = list(number), [], []
+    for k in range(0, len(names), 20_000):  # the n-grams of all words at once would need much memory
+        found, of = subwords(names[k : k + 20_000])
+        parts.append(found[np.argsort(of, kind="stable")].astype(np.int32))
+        counts.append(np.bincount(of))
+    rows, count = np.concatenate(parts), np.concatenate(counts)
     first = np.cumsum(count) - count
+    del number, names, parts, counts
     # small vectors and a large output layer: an average over a window leaves little of one word
     table = rng.uniform(-1 / 64, 1 / 64, (size, DIMENSIONS)).astype(np.float32)
     output = rng.normal(0, 8, DIMENSIONS).astype(np.float32)
@@ -194,11 +198,12 @@ def train(
     order = [F.xxhash64("id"), "id"]
     sample = marked.filter("label = 1").orderBy(*order).limit(rows).unionByName(
         marked.filter("label = 0").orderBy(*order).limit(rows))
-    marks = {r.label: r["count"] for r in marked.groupBy("label").count().collect()}
-    share = marks.get(1, 0) / max(1, sum(marks.values()))
+    known = {r.label: r["count"] for r in marked.groupBy("label").count().collect()}
+    share = known.get(1, 0) / max(1, sum(known.values()))
     have = docs.select(docs[id].alias("id"), F.substring(docs[text], 1, TRAINING_CHARS).alias("text"))
     found = have.join(F.broadcast(sample), "id").orderBy("id", "label", "text").limit(2 * rows).collect()
-    return trained([r.text or "" for r in found], [r.label for r in found], share)
+    texts, marks = [r.text or "" for r in found], [r.label for r in found]
+    return trained(texts, marks, share)
 
 
 def score(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text") -> DataFrame:
