@@ -13,8 +13,8 @@ order that is tried:
    the rarest, just so many that a linked document must offer one of them, too.
 3. A second hash order, tested for each pair before its sets are compared in full.
 
-Equal sets are one class from the start. Candidates that hang together form groups (copies
-of one text, as a rule). Within a group all documents are compared with the most typical
+Equal sets are one class from the start. Candidates of similar size that hang together form
+groups (copies of one text, as a rule). Within a group all documents are compared with the most typical
 one, then those that are not linked to it with all of the group, in blocks of bounded size:
 no pair is emitted unless it is a link, no link between different texts is lost, and no
 task holds more than two blocks.
@@ -22,6 +22,7 @@ task holds more than two blocks.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,11 +35,12 @@ from lanewright.llm.batches import octets, pieces
 from lanewright.llm.components import components
 from lanewright.llm.decontaminate import PIECE
 from lanewright.llm.shared import stored
+from lanewright.llm.sieve import Sieve
 
 #: Words of a shingle, and the least similarity of a link in hundredths.
 WORDS, PERCENT = 5, 80
 #: Hundredths of a set by which its prefix is longer than one shared token needs.
-SLACK = 5
+SLACK = 10
 #: Bits of the first sieve of step 1 (log 2): a fixed-size filter of shared tokens. It only saves work.
 SIEVE_LOG2 = 26
 #: Documents and tokens of a block.
@@ -49,6 +51,7 @@ KNOWN_WORDS = 300_000
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _BLANKS = frozenset(b" \t\n\r\x0b\x0c")
 _FACTORS = [np.uint64(f) for f in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
+_HALF = 0x5851F42D4C957F2D  # makes the other half of a sieve's key
 _ORDER = np.uint64(0xFF51AFD7ED558CCD)
 
 
@@ -133,13 +136,13 @@ def _sets(words: int, percent: int, sieve):
     """A row for each document; the set and the shared part of the prefix only if it may be linked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, bits = Hashes(), np.frombuffer(sieve.value, dtype=np.uint64)
+        known = Hashes()
         for batch in pieces(batches):
             size, names, owners, sets, firsts = [], [], [], [], []
             for tokens, name, owner in _named(batch, known, words):
                 n = len(tokens)
                 first = tokens[: prefix_length(n, percent)]
-                first = first[_in_sieve(first, bits)]
+                first = first[sieve.value.holds(first.view(np.int64), _other_half(first))]
                 may = n > 0 and len(first) >= shared_needed(n, percent)
                 size.append(n)
                 names.append(name)
@@ -157,25 +160,8 @@ def _sets(words: int, percent: int, sieve):
     return run
 
 
-def _in_sieve(tokens: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    log2 = (64 * len(bits)).bit_length() - 1
-    mask, one = np.uint64((1 << log2) - 1), np.uint64(1)
-    out = np.ones(len(tokens), dtype=bool)
-    for shift in (0, log2):
-        at = (tokens >> np.uint64(shift)) & mask
-        out &= (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & one == 1
-    return out
-
-
-def _sieve(tokens: DataFrame) -> bytes:
-    """The filter of some tokens: two bits for each; its size is fixed."""
-    mask = (1 << SIEVE_LOG2) - 1
-    places = tokens.select(F.explode(F.expr(f"array(token & {mask}, shiftrightunsigned(token, {SIEVE_LOG2}) & {mask})")).alias("at"))
-    words = places.groupBy(F.expr("cast(at div 64 as int)").alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(at & 63 as int)))").alias("bits"))
-    found = words.toArrow()
-    bits = np.zeros(1 << (SIEVE_LOG2 - 6), dtype=np.int64)
-    bits[found.column("w").to_numpy()] = found.column("bits").to_numpy()
-    return bits.tobytes()
+def _other_half(tokens: np.ndarray) -> np.ndarray:
+    return tokens.view(np.int64) * np.int64(_HALF)
 
 
 def _linked(a: np.ndarray, others: list[np.ndarray], percent: int, pool: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
@@ -200,7 +186,7 @@ def _compare(percent: int):
     """Links between the left and the right documents of a block pair."""
 
     def run(group: pa.Table) -> pa.Table:
-        owners = group.column("owner").to_pylist()
+        blob, owners = group.column("blob")[0].as_py(), group.column("owner").to_pylist()
         sets = [np.frombuffer(x, dtype=np.uint64) for x in group.column("tokens").to_pylist()]
         side = np.array(group.column("right").to_pylist(), dtype=bool)
         left, right = np.flatnonzero(~side), np.flatnonzero(side)
@@ -221,13 +207,13 @@ def _compare(percent: int):
                         if owners[k] != owners[right[j]]:
                             a.append(owners[k])
                             b.append(owners[right[j]])
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+        return pa.table({"blob": pa.array([blob] * len(a), pa.int64()), "a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return run
 
 
 def _in_blocks(left: DataFrame, right: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between the left and the right owners of each group (columns: blob, owner, n)."""
+    """Links (blob, a, b) between the left and the right owners of each group (columns: blob, owner, n)."""
 
     def cut(rows: DataFrame) -> DataFrame:
         count = F.greatest(F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum("n") / BLOCK_TOKENS))
@@ -241,7 +227,7 @@ def _in_blocks(left: DataFrame, right: DataFrame, sets: DataFrame, percent: int)
     other = other.withColumn("i", F.explode(F.expr("sequence(0, lefts - 1)"))).withColumn("right", F.lit(True))
     wanted = ["blob", "i", "j", "right", "owner"]
     rows = mine.select(wanted).unionByName(other.select(wanted)).join(sets.select("owner", "tokens"), "owner")
-    return rows.groupBy("blob", "i", "j").applyInArrow(_compare(percent), "a bigint, b bigint")
+    return rows.groupBy("blob", "i", "j").applyInArrow(_compare(percent), "blob bigint, a bigint, b bigint")
 
 
 def similar(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -263,7 +249,8 @@ def similar(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int
     firsts = rows.select("text").mapInArrow(_prefixes(words, percent), "token bigint, owner bigint")
     tokens = firsts.groupBy("token").agg(F.min("owner").alias("a"), F.max("owner").alias("b"), F.count("*").alias("df"))
     tokens = stored(tokens.filter("a <> b").select("token", "df"))
-    sieve = context.broadcast(_sieve(tokens))
+    halves = tokens.select(F.col("token").alias("a"), F.expr(f"token * {_HALF}L").alias("b"))
+    sieve = context.broadcast(Sieve.of(halves, SIEVE_LOG2))
     schema = f"id {kind}, n bigint, name binary, owner bigint, tokens binary, firsts array<bigint>"
     every = stored(rows.mapInArrow(_sets(words, percent, sieve), schema))
     links = _links(every, tokens, percent)
@@ -288,22 +275,26 @@ def _links(every: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
     order = Window.partitionBy("owner").orderBy("df", "token")
     ranked = shared.withColumn("rank", F.row_number().over(order)).withColumn("s", F.count("*").over(Window.partitionBy("owner")))
     need = F.expr(f"{SLACK} * (({percent} * n + 99) div 100) div 100 + 1")
-    offered = stored(ranked.filter(F.col("rank") <= F.col("s") - need + 1).select("owner", "n", "token", "df"))
-    heads = offered.groupBy("token").agg(F.min("owner").alias("head"), F.max("owner").alias("last")).filter("head <> last")
-    edges = offered.join(heads.select("token", "head"), "token").filter("owner <> head")
-    blobs = stored(components(edges.select(F.col("owner").alias("a"), F.col("head").alias("b"))))
+    # sets of linked documents differ in size by less than a band, and so share one of two bands
+    band = F.floor(F.log("n") / (1.0001 * math.log(100 / percent)))
+    offered = ranked.filter(F.col("rank") <= F.col("s") - need + 1).select("owner", "n", "token", "df", band.alias("band"))
+    offered = stored(offered.withColumn("band", F.explode(F.array("band", F.col("band") + 1))))
+    heads = offered.groupBy("token", "band").agg(F.min("owner").alias("head"), F.max("owner").alias("last")).filter("head <> last")
+    edges = offered.join(heads.select("token", "band", "head"), ["token", "band"]).filter("owner <> head")
+    edges = edges.select(F.xxhash64("owner", "band").alias("a"), F.xxhash64("head", "band").alias("b"))
+    blobs = components(edges).toDF("node", "blob")
 
     # the most typical document of a group: the one whose tokens are the most frequent
-    weight = offered.groupBy("owner", "n").agg(F.avg("df").alias("weight"))
-    members = stored(weight.join(blobs.toDF("owner", "blob"), "owner"))
-    typical = members.groupBy("blob").agg(F.max_by("owner", F.struct("weight", "owner")).alias("owner"), F.max_by("n", F.struct("weight", "owner")).alias("n"))
-    typical = stored(typical.select("blob", "owner", "n"))
-    slim = members.select("blob", "owner", "n")
+    weight = offered.groupBy("owner", "n", "band").agg(F.avg("df").alias("weight")).withColumn("node", F.xxhash64("owner", "band"))
+    members = stored(weight.join(blobs, "node").select("blob", "owner", "n", "weight"))
+    order = F.struct("weight", "owner")
+    typical = members.groupBy("blob").agg(F.max_by("owner", order).alias("owner"), F.max_by("n", order).alias("n"))
+    typical, slim = stored(typical), members.select("blob", "owner", "n")
     star = stored(_in_blocks(typical, slim, sets, percent))
     # the rest of each group against all of it
-    met = star.select(F.col("b").alias("owner")).unionByName(typical.select("owner")).distinct()
-    rest = slim.join(met, "owner", "left_anti").select("blob", "owner", "n")
-    return star.unionByName(stored(_in_blocks(rest, slim, sets, percent)))
+    met = star.select("blob", F.col("b").alias("owner")).unionByName(typical.select("blob", "owner"))
+    rest = slim.join(met.distinct(), ["blob", "owner"], "left_anti")
+    return star.unionByName(stored(_in_blocks(rest, slim, sets, percent))).select("a", "b")
 
 
 def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanewright.llm import bpe, decontaminate, html, ngram_join, pii, secrets, spotsigs, toxicity
+from lanewright.llm import bpe, decontaminate, html, ngram_join, pii, secrets, spotsigs, suffix_dedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -81,6 +81,41 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that strings of 400 bytes repeat, and what is left."""
+    found = suffix_dedup.repeats(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_bytes", F.expr("aggregate(spans, 0L, (n, s) -> n + s.end - s.start)").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+SQL["op4_suffix_dedup"] = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS row, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+starts AS (
+  SELECT row, p, md5(substr(h, 2 * p - 1, 800)) AS k
+  FROM (SELECT row, h, unnest(range(1, length(h) // 2 - 398)) AS p FROM texts WHERE length(h) >= 800)),
+again AS (
+  SELECT row, p FROM starts WHERE k IN (SELECT k FROM starts GROUP BY k HAVING count(*) > 1)),
+bytes AS (
+  SELECT row, p, substr(h, 2 * p - 1, 2) AS x
+  FROM (SELECT row, h, unnest(range(1, length(h) // 2 + 1)) AS p FROM texts WHERE row IN (SELECT row FROM again))),
+marked AS (
+  SELECT row, p, x, coalesce(max(again.p) OVER (PARTITION BY row ORDER BY p ROWS BETWEEN 399 PRECEDING AND CURRENT ROW), 0) > 0 AS gone
+  FROM bytes LEFT JOIN again USING (row, p)),
+edges AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY row ORDER BY p), false) AS head FROM marked),
+changed AS (
+  SELECT row, count(*) FILTER (gone) AS n_removed, count(*) FILTER (head) AS n_spans,
+         sha256(unhex(coalesce(string_agg(x, '' ORDER BY p) FILTER (NOT gone), ''))) AS kept_sha256
+  FROM edges GROUP BY row)
+SELECT doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       coalesce(kept_sha256, sha256(unhex(h))) AS kept_sha256
+FROM texts LEFT JOIN changed USING (row)
+"""
+
+
 @query
 def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""

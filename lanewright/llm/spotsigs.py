@@ -8,9 +8,13 @@ signatures come from the text proper. A text without a signature has one for the
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lanewright.llm.shared import stored
+
 # fixed values: anchors, and the common words of four languages that chains pass over
 ANCHORS = "the is that was der die und le les que el los".split()
 COMMON = (
@@ -64,12 +68,13 @@ def likeness(a: Column, b: Column, least: float = 0.0) -> Column:
     return F.when(possible, jaccard).otherwise(0.0) if least else jaccard
 
 
-def with_next(rows: DataFrame, columns: list[str]) -> DataFrame:
+def with_next(rows: DataFrame, columns: list[str], prepare: Callable[[DataFrame], DataFrame] = lambda r: r) -> DataFrame:
     """Adds ``next_`` + column for the next row by (id, text), for the last row the first one.
 
-    ``rows`` has id, text and ``columns``; null ids and texts come first. Chunks of
-    neighbouring ids are windows of their own; the first rows of the next chunk are added to
-    each chunk, so that a row moves once and a window holds at most a chunk.
+    ``rows`` has id and text; null ids and texts come first. Chunks of neighbouring ids are
+    windows of their own; the first rows of the next chunk are added to each chunk, so that a
+    row moves once and a window holds at most a chunk. ``prepare`` may add columns once rows
+    have moved.
     """
     chunk = F.coalesce(F.floor(F.col("id") / CHUNK), F.lit(-(1 << 62)))
     rows = rows.withColumn("chunk", chunk)
@@ -81,11 +86,12 @@ def with_next(rows: DataFrame, columns: list[str]) -> DataFrame:
     inside = Window.partitionBy("group").orderBy("chunk")
     follow = firsts.withColumn("after", F.lead("chunk").over(inside)).join(groups, "group")
     follow = follow.select(F.col("chunk").alias("to"), F.coalesce("after", "head").alias("of"))
-    starts = follow.join(firsts.select(F.col("chunk").alias("of"), "first"), "of").select("to", "of", "first")
+    # stored, so that its size is known before the texts are joined with it
+    starts = stored(follow.join(firsts.select(F.col("chunk").alias("of"), "first"), "of").select("to", "of", "first"))
     carried = rows.join(starts, (rows["chunk"] == starts["of"]) & rows["id"].eqNullSafe(starts["first"]))
     carried = carried.select(*rows.columns[:-1], F.col("to").alias("chunk"), F.lit(True).alias("carried"))
     order = Window.partitionBy("chunk").orderBy("carried", "id", "text")
-    both = rows.withColumn("carried", F.lit(False)).unionByName(carried)
+    both = prepare(rows.withColumn("carried", F.lit(False)).unionByName(carried).repartition("chunk"))
     out = both.select("*", *(F.lead(c).over(order).alias(f"next_{c}") for c in columns))
     return out.filter(~F.col("carried")).drop("chunk", "carried")
 
@@ -109,7 +115,7 @@ def robustness(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataF
     one row has itself as the next document; an empty table gives an empty result.
     """
     rows = docs.select(docs[id].alias("id"), F.coalesce(docs[text], F.lit("")).alias("text"))
-    rows = with_next(with_fingerprint(rows, "text", "print"), ["text", "print"])
+    rows = with_next(rows, ["text", "print"], lambda r: with_fingerprint(r, "text", "print"))
     size = F.length("text")
     quarter = F.floor(size / 4).cast("int")
     edited = F.concat(F.expr("left(text, n_chars - quarter)"), F.expr("left(next_text, quarter)"))
