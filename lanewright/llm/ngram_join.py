@@ -51,7 +51,6 @@ KNOWN_WORDS = 300_000
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _BLANKS = frozenset(b" \t\n\r\x0b\x0c")
 _FACTORS = [np.uint64(f) for f in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
-_HALF = 0x5851F42D4C957F2D  # makes the other half of a sieve's key
 _ORDER = np.uint64(0xFF51AFD7ED558CCD)
 
 
@@ -161,7 +160,8 @@ def _sets(words: int, percent: int, sieve):
 
 
 def _other_half(tokens: np.ndarray) -> np.ndarray:
-    return tokens.view(np.int64) * np.int64(_HALF)
+    """The halves of each token exchanged, as the second part of a sieve's key."""
+    return ((tokens << np.uint64(32)) | (tokens >> np.uint64(32))).view(np.int64)
 
 
 def _linked(a: np.ndarray, others: list[np.ndarray], percent: int, pool: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
@@ -249,7 +249,7 @@ def similar(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int
     firsts = rows.select("text").mapInArrow(_prefixes(words, percent), "token bigint, owner bigint")
     tokens = firsts.groupBy("token").agg(F.min("owner").alias("a"), F.max("owner").alias("b"), F.count("*").alias("df"))
     tokens = stored(tokens.filter("a <> b").select("token", "df"))
-    halves = tokens.select(F.col("token").alias("a"), F.expr(f"token * {_HALF}L").alias("b"))
+    halves = tokens.select(F.col("token").alias("a"), F.expr("shiftleft(token, 32) | shiftrightunsigned(token, 32)").alias("b"))
     sieve = context.broadcast(Sieve.of(halves, SIEVE_LOG2))
     schema = f"id {kind}, n bigint, name binary, owner bigint, tokens binary, firsts array<bigint>"
     every = stored(rows.mapInArrow(_sets(words, percent, sieve), schema))
