@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanewright.llm import bpe, decontaminate, html, ngram_join, pii, secrets, spotsigs, suffix_dedup, toxicity
+from lanewright.llm import bpe, decontaminate, html, lm, ngram_join, pii, secrets, spotsigs, suffix_dedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -81,6 +81,16 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op3_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pseudo-likelihood of every document under a network trained on all of them."""
+    docs = table(spark, sf_dir, "documents")
+    words = lm.vocabulary(docs)
+    scored = lm.score(docs, words, lm.train(docs, words))
+    mean = F.when(F.col("n_words") > 0, F.col("score") / F.col("n_words")).otherwise(0.0)
+    return scored.select("doc_id", "n_words", "score", mean.alias("per_word"))
+
+
 @query
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every document that strings of 400 bytes repeat, and what is left."""
