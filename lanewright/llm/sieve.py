@@ -13,8 +13,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Bits of a sieve (log 2), and bits that a key sets.
-LOG2, PLACES = 27, 4
+#: Bits of a sieve (log 2); a key sets four of them.
+LOG2 = 25
 
 
 @dataclass
