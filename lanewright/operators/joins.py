@@ -37,7 +37,6 @@ def interval_join(
     closed: bool = True,
     how: str = "left",
     bucket_hours: int | None = None,
-    tiers_hours: Sequence[int] = (1, 16, 256, 4096, 65536),
 ) -> DataFrame:
     """Rows of ``right`` whose [start, end] holds ``left.at`` under equal keys; NULL end = open.
 
@@ -47,9 +46,10 @@ def interval_join(
     * ``bucket_hours``: for intervals known to be short and bounded. Intervals are
       laid on time buckets, the point knows its bucket, one equi join follows
       (intervals without an end are not eligible).
-    * otherwise intervals are sorted into tiers by length; within a tier an interval
-      touches at most two buckets. Only the distinct (keys, time) points are spread
-      over the tiers that occur, and the matches are joined back on (keys, time).
+    * otherwise intervals are sorted into tiers by length, the next power of 16 hours; an
+      open interval ends, for this, at the last point. Within a tier an interval touches
+      at most two buckets, whatever its length. Only the distinct (keys, time) points are
+      spread over the tiers that occur, and the matches are joined back on (keys, time).
     """
     lkeys, rkeys = [a for a, _ in on], [b for _, b in on]
     known = reduce(and_, [right[k].isNotNull() for k in rkeys])
@@ -69,26 +69,20 @@ def interval_join(
         )
         return points.join(laid, matched, how).drop("_bucket", "_at_bucket", *rkeys)
 
-    open_tier = len(tiers_hours)
-    widths = F.array(*[F.lit(float(h * 3600)) for h in tiers_hours], F.lit(1.0))
-    tier = rules.first_match(
-        [(last - first <= h * 3600, F.lit(i)) for i, h in enumerate(tiers_hours)], F.lit(open_tier)
-    )
+    bounded = usable.withColumn("_until", F.coalesce(usable[end], left.agg(F.max(at)).scalar()))
+    bounded = bounded.filter(F.col("_until") >= F.col(start))
+    hours = F.greatest((epoch_seconds(F.col("_until")) - epoch_seconds(F.col(start))) / 3600, F.lit(1.0))
+    tiered = bounded.withColumn("_tier", F.ceil(F.log2(hours) / 4).cast("int"))
 
     def bucket(seconds: Column) -> Column:
-        # the open tier has a single bucket
-        slot = F.floor(seconds / F.element_at(widths, F.col("_tier") + 1))
-        return F.when(F.col("_tier") == open_tier, F.lit(0).cast("long")).otherwise(slot)
-
-    tiered = usable.withColumn("_tier", tier)
-    laid = tiered.withColumn(
-        "_bucket",
-        F.explode(F.sequence(bucket(first), F.when(F.col("_tier") == open_tier, bucket(first)).otherwise(bucket(last)))),
-    )
-    # at most len(tiers_hours) + 1 rows, whatever the input
+        return F.floor(seconds / (3600 * F.pow(F.lit(16.0), F.col("_tier"))))
+
+    ends = bucket(epoch_seconds(F.col(start))), bucket(epoch_seconds(F.col("_until")))
+    laid = tiered.withColumn("_bucket", F.explode(F.sequence(*ends))).drop("_until")
+    # lengths of timestamps are below 16 ** 7 hours, so there are at most eight tiers
     occurring = F.broadcast(tiered.select(F.col("_tier").alias("_has")).distinct())
     spots = left.select(*[F.col(k).alias(f"_k_{k}") for k in lkeys], F.col(at).alias("_at")).na.drop().distinct()
-    spread = spots.withColumn("_tier", F.explode(F.array(*[F.lit(i) for i in range(open_tier + 1)])))
+    spread = spots.withColumn("_tier", F.explode(F.array(*[F.lit(i) for i in range(8)])))
     spread = spread.join(occurring, spread["_tier"] == occurring["_has"], "left_semi")
     spread = spread.withColumn("_bucket", bucket(epoch_seconds(F.col("_at"))))
     spread = spread.withColumnsRenamed({"_tier": "_at_tier", "_bucket": "_at_bucket"})

@@ -88,8 +88,9 @@ def run_carrier_loads(tables: Tables, warehouse: Warehouse, lineage: bool = Fals
         target, combined, t["cancelled_loads"], now, drop_orphans=lineage))
 
 
-def run_technician_activity(tables: Tables, warehouse: Warehouse) -> DataFrame:
-    """Activity table clustered by tracking number; its quality row is published even if the build fails."""
+def run_technician_activity(tables: Tables, warehouse: Warehouse, project: str, dataset: str) -> DataFrame:
+    """Activity table clustered by tracking number; its quality row, under the names of its
+    catalog, is published even if the build fails."""
     t, now, store, name = tables, warehouse.now, warehouse.store, "technician_activity"
 
     def build() -> DataFrame:
@@ -106,7 +107,7 @@ def run_technician_activity(tables: Tables, warehouse: Warehouse) -> DataFrame:
     def publish() -> None:
         if warehouse.has(name):
             written = committed_at(warehouse.spark, warehouse.path(name))
-            row = quality_row(warehouse.read(name), "activity_id", "facilities-dw", "facilities_prod", name, written, now)
+            row = quality_row(warehouse.read(name), "activity_id", project, dataset, name, written, now)
             append_rows(row, warehouse.path("table_qa"))
 
     return publish_always(build, publish)

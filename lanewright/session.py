@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,9 +21,6 @@ SETTINGS = {
 # what may still be set on a running session
 _RUNTIME = [name for name in SETTINGS if name.startswith("spark.sql.")]
 
-_local_folder: tempfile.TemporaryDirectory | None = None
-
-
 def build_session(app: str, master: str | None = None, **settings: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
@@ -42,32 +38,28 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str | None:
-    """Folder every executor can reach: the one the session names in ``spark.checkpoint.dir``.
-
-    A session on local[...] without one gets a temporary folder of this process; a
-    cluster session without one has none.
-    """
-    global _local_folder
+    """Folder that all machines share: the one the session names in ``spark.checkpoint.dir``, or none."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        return None
-    if _local_folder is None:
-        _local_folder = tempfile.TemporaryDirectory(prefix="lanewright-")
-    return _local_folder.name
+    return folder.rstrip("/") if folder else None
 
 
 def staged(df: DataFrame) -> DataFrame:
     """Write an intermediate result to the shared folder and read it back.
 
-    For results several later steps read: they are computed once, a lost executor
-    costs a re-read instead of a recomputation, and the reader prunes columns and sees
-    real sizes. Without a shared folder the plan is returned as it is.
+    For results several later steps read: they are computed once, a lost executor costs a
+    re-read instead of a recomputation, and the reader prunes columns and sees real sizes.
+    Only a session that names a shared folder stages; others, on any master, do not.
     """
     folder = shared_folder(df.sparkSession)
     if folder is None:
         return df
-    path = f"{folder}/staged/{uuid.uuid4().hex}"
+    path = f"{folder}/staged-{df.sparkSession.sparkContext.applicationId}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear_staged(spark: SparkSession) -> None:
+    """Deletes what this application has staged, once the results that read it are written."""
+    if folder := shared_folder(spark):
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/staged-{spark.sparkContext.applicationId}")
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

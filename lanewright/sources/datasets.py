@@ -9,6 +9,8 @@ leaves the dataset as it was.
 from __future__ import annotations
 
 import datetime as dt
+import json
+import uuid
 from collections.abc import Callable, Sequence
 from typing import TypeVar
 
@@ -21,7 +23,7 @@ from lanewright.operators.scans import join_groups, without_match
 
 Result = TypeVar("Result")
 
-_COMMIT_SCHEMA = "version long, committed_at timestamp_ntz, expires_at timestamp_ntz"
+_COMMIT_SCHEMA = "version long, committed_at timestamp_ntz, expires_at timestamp_ntz, folder string"
 
 
 def commits(spark: SparkSession, path: str) -> DataFrame:
@@ -41,9 +43,14 @@ def committed_at(spark: SparkSession, path: str) -> dt.datetime | None:
     return commits(spark, path).agg(F.max_by("committed_at", "version")).first()[0]
 
 
-def _commit(spark: SparkSession, path: str, version: int, at: dt.datetime, expires: dt.datetime | None) -> None:
-    row = spark.createDataFrame([(version, at, expires)], _COMMIT_SCHEMA)
-    row.coalesce(1).write.mode("append").json(f"{path}/commits")
+def _commit(spark: SparkSession, path: str, version: int, at: dt.datetime, expires: dt.datetime | None, folder: str) -> None:
+    """Adds the version's row to the log; fails if another writer has committed that version."""
+    row = {"version": version, "committed_at": at.isoformat(), "expires_at": expires and expires.isoformat(), "folder": folder}
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    place = hadoop.Path(f"{path}/commits/v{version:08d}.json")
+    out = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(place, False)
+    out.write(bytearray(json.dumps(row).encode()))
+    out.close()
 
 
 def write_version(
@@ -60,16 +67,17 @@ def write_version(
     if cluster_by:
         spread = F.xxhash64(*[F.col(c) for c in df.columns])
         df = df.repartitionByRange(*[F.col(c) for c in cluster_by], spread).sortWithinPartitions(*cluster_by)
-    df.write.mode("overwrite").parquet(f"{path}/v{version:08d}")
-    _commit(spark, path, version, committed_at, expires_at)
+    folder = f"v{version:08d}-{uuid.uuid4().hex[:12]}"  # of this writer alone
+    df.write.parquet(f"{path}/{folder}")
+    _commit(spark, path, version, committed_at, expires_at, folder)
     return version
 
 
 def read_current(spark: SparkSession, path: str) -> DataFrame:
-    version = current_version(spark, path)
-    if version is None:
+    folder = commits(spark, path).agg(F.max_by("folder", "version")).first()[0]
+    if folder is None:
         raise FileNotFoundError(f"no committed version in {path}")
-    return spark.read.parquet(f"{path}/v{version:08d}")
+    return spark.read.parquet(f"{path}/{folder}")
 
 
 def append_rows(df: DataFrame, path: str) -> None:
@@ -87,6 +95,20 @@ def snapshot(df: DataFrame, base: str, taken_at: dt.datetime, ttl_days: int = 72
     return path
 
 
+def purge(spark: SparkSession, path: str) -> list[str]:
+    """Deletes the folders of all versions but the current one, and of writers that never committed; returns them.
+
+    For a job that runs when no reader is left that opened an older version, and no writer is at work.
+    """
+    keep = commits(spark, path).agg(F.max_by("folder", "version")).first()[0]
+    base = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    gone = [s.getPath() for s in files.listStatus(base) if s.getPath().getName() not in (keep, "commits")]
+    for folder in gone if keep else []:
+        files.delete(folder, True)
+    return [g.getName() for g in gone] if keep else []
+
+
 def expired(spark: SparkSession, paths: Sequence[str], as_of: dt.datetime) -> list[str]:
     """Snapshots whose expiry has passed, for the job that removes them."""
     def is_past(path: str) -> bool:
@@ -110,16 +132,18 @@ def merge_upsert(
     once = source.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(
         F.count(F.lit(1)).alias("_n"), F.any_value(F.struct(*[F.col(c) for c in taken])).alias("_new")
     )
-    ambiguous = F.raise_error(F.lit("more than one source row matches a target row"))
+    ambiguous = F.raise_error(F.lit("more than one source row matches a target row")).cast("boolean")
     kept = []
     for name in target.columns:
         if name not in taken:
             kept.append(target[name])
             continue
-        new = F.when(once["_n"] > 1, ambiguous.cast(target.schema[name].dataType)).otherwise(once["_new"][name])
-        value = F.when(once["_n"].isNotNull(), new.cast(target.schema[name].dataType)).otherwise(target[name])
+        new = once["_new"][name].cast(target.schema[name].dataType)
+        value = F.when(once["_n"].isNotNull(), new).otherwise(target[name])
         kept.append(value.alias(name))
-    updated = join_groups(target, once, [(k, f"_k_{k}") for k in keys], "left").select(*kept)
+    met = join_groups(target, once, [(k, f"_k_{k}") for k in keys], "left")
+    # a filter, so that a reader of other columns, or of the count, runs the check too
+    updated = met.filter(F.when(once["_n"] > 1, ambiguous).otherwise(True)).select(*kept)
     # only the target keys the source names take part, so a small increment never shuffles the target
     named = source.select(*[F.col(k).alias(f"_s_{k}") for k in keys])
     present = join_groups(target.select(*keys), named, [(k, f"_s_{k}") for k in keys], "left_semi")

@@ -4,7 +4,8 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from lanewright.session import shared_folder, staged
+from lanewright import session
+from lanewright.session import clear_staged, staged
 from lanewright.sources import datasets
 from tests.helpers import d, frame, rows
 
@@ -42,6 +43,11 @@ def test_merge_refuses_ambiguous_sources(spark):
     doubled = source(spark, (1, d("2024-01-01"), "NEWER", 1.0))
     with pytest.raises(PySparkException, match="more than one source row"):
         datasets.merge_upsert(target(spark), doubled, KEYS, UPDATE, INSERT).collect()
+    # readers of the count, or of the keys alone, must not pass by the check
+    with pytest.raises(PySparkException, match="more than one source row"):
+        datasets.merge_upsert(target(spark), doubled, KEYS, UPDATE, INSERT).count()
+    with pytest.raises(PySparkException, match="more than one source row"):
+        datasets.merge_upsert(target(spark), doubled, KEYS, UPDATE, INSERT).select(KEYS[0]).collect()
     # duplicates that match no target row are inserted, as MERGE does
     unmatched = source(spark, (3, d("2024-01-03"), "TWICE", 1.0))
     assert datasets.merge_upsert(target(spark), unmatched, KEYS, UPDATE, INSERT).filter("load_id = 3").count() == 2
@@ -115,7 +121,24 @@ def test_publish_always():
     assert done == ["ok", "after error"]
 
 
-def test_staged(spark):
+def test_staged(spark, tmp_path, monkeypatch):
     df = target(spark)
-    assert shared_folder(spark)
+    monkeypatch.setattr(session, "shared_folder", lambda _: None)
+    assert staged(df) is df
+    monkeypatch.setattr(session, "shared_folder", lambda _: str(tmp_path))
     assert rows(staged(df)) == rows(df) and staged(df).schema == df.schema
+    clear_staged(spark)
+    assert not list(tmp_path.glob("staged*"))
+
+
+def test_writers_do_not_overwrite_each_other(spark, tmp_path, monkeypatch):
+    path, now = str(tmp_path / "t"), dt.datetime(2024, 1, 1)
+    datasets.write_version(spark.range(3), path, now)
+    monkeypatch.setattr(datasets, "current_version", lambda *_: 0)  # a writer that started before that commit
+    with pytest.raises(Exception, match="exist"):
+        datasets.write_version(spark.range(9), path, now)
+    monkeypatch.undo()
+    assert datasets.read_current(spark, path).count() == 3
+    datasets.write_version(spark.range(5), path, now)
+    assert len(datasets.purge(spark, path)) == 2
+    assert datasets.read_current(spark, path).count() == 5

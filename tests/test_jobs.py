@@ -52,13 +52,13 @@ def test_technician_job_publishes_quality_even_on_failure(spark, tmp_path):
     )
     found["workorder"] = found["workorders"]
     warehouse = jobs.Warehouse(spark, str(tmp_path), EVENTS_NOW)
-    built = jobs.run_technician_activity(found, warehouse)
+    built = jobs.run_technician_activity(found, warehouse, "project", "dataset")
     stats = spark.read.parquet(warehouse.path("table_qa"))
     row = stats.first()
     assert row.record_cnt == built.filter("activity_id IS NOT NULL").count() and row.last_update_dt == EVENTS_NOW
     broken = dict(found, workorder_ivr=found["workorder_ivr"].drop("ivr_id"))
     with pytest.raises(Exception, match="ivr_id"):
-        jobs.run_technician_activity(broken, jobs.Warehouse(spark, str(tmp_path), EVENTS_NOW + dt.timedelta(days=1)))
+        jobs.run_technician_activity(broken, jobs.Warehouse(spark, str(tmp_path), EVENTS_NOW + dt.timedelta(days=1)), "project", "dataset")
     assert spark.read.parquet(warehouse.path("table_qa")).count() == 2
 
 
@@ -91,7 +91,7 @@ def test_trailer_plan_job(spark, tmp_path):
     for name in ("delivery_forecast_current", "trailer_plan_activity", "trailer_plan_quantities"):
         assert warehouse.read(name).count() > 0
     found["trailer_plan_staged"] = staged.withColumn("load_status", F.lit("DONE"))
-    jobs.run_trailer_plan(found, jobs.Warehouse(spark, str(tmp_path), PLAN_NOW + dt.timedelta(days=1)))
+    jobs.run_trailer_plan(found, jobs.Warehouse(spark, str(tmp_path), PLAN_NOW + dt.timedelta(days=1)), "project", "dataset")
     assert [r[0] for r in warehouse.read("trailer_plan").select("load_status").distinct().collect()] == ["DONE"]
 
 
