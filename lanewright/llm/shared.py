@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,11 +19,15 @@ def shared_folder(spark: SparkSession) -> str:
     if not folder:
         if not spark.conf.get("spark.master", "").startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
-        folder = tempfile.mkdtemp(prefix="checkpoints-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        folder = _own_folder()
     return f"{folder.rstrip('/')}/corpus-{spark.sparkContext.applicationId}"
 
 
+@lru_cache(maxsize=1)
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="checkpoints-")
+
+
 def stored(df: DataFrame) -> DataFrame:
     """The rows of ``df`` written as Parquet and read back; a lost executor costs a read only."""
     path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
