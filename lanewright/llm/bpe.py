@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from lanewright.llm.batches import cuts, pieces, strings
 
 #: Words kept with their tokens in a worker; when there are more, the store starts anew.
-KNOWN_WORDS = 200_000
+KNOWN_WORDS = 300_000
 #: Longer words are encoded each time they occur.
 KNOWN_LENGTH = 64
 
@@ -61,9 +61,17 @@ def members(kind: str, more: list[tuple[int, int]]) -> str:
 
 
 def word_pattern() -> re.Pattern:
-    """The splitting pattern of the vocabulary's file; its classes are letters, numbers and white space."""
+    """The splitting pattern of the vocabulary's file; its classes are letters, numbers and white space.
+
+    Letters may come before the endings after an apostrophe, as these begin with none.
+    """
     letters, numbers = members("L", NEW_LETTERS), members("N", NEW_NUMBERS)
-    return re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^{SPACE}{letters}{numbers}]+")
+    return re.compile(f"[{letters}]+|'(?:s|t|re|ve|m|ll|d)|[{numbers}]|[^{SPACE}{letters}{numbers}]+")
+
+
+ASCII_WORD = re.compile(r"[a-z]+|'(?:s|t|re|ve|m|ll|d)|[0-9]|[^\t-\r a-z0-9]+")
+#: Symbols from which on merging uses a queue.
+LONG = 32
 
 
 class WordBpe:
@@ -90,6 +98,8 @@ class WordBpe:
             self.merges.setdefault((a, b), (k, made))
             if self.order[made] < 0:
                 self.order[made], self.left[made], self.right[made] = k, a, b
+        self.orders = {pair: k for pair, (k, _) in self.merges.items()}
+        self.made = [vocab[a + b] for a, b in merges]
         keys = np.array([a * size + b for a, b in self.merges], dtype=np.int64)
         at = np.argsort(keys)
         self.pair_keys = keys[at]
@@ -103,8 +113,9 @@ class WordBpe:
 
     def words(self, text: str) -> list[str]:
         """Normalised words of a text without special tokens: composed, lower case per letter."""
-        if not text.isascii():
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # lower() looks at a sigma's place
+        if text.isascii():
+            return ASCII_WORD.findall(text.lower())
+        text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # lower() looks at a sigma's place
         return self.split.findall(text.lower())
 
     def symbols(self, word: str) -> str:
@@ -160,6 +171,8 @@ class WordBpe:
         """Exact encoding: always the earliest merge, of equal ones the leftmost."""
         tokens = [self.vocab.get(c) for c in word[:-1]] + [self.vocab.get(word[-1:] + WORD_END)]
         tokens = [t for t in tokens if t is not None]  # symbols the vocabulary lacks are left out
+        if len(tokens) < LONG:
+            return self.merged_short(tokens)
         after, before = list(range(1, len(tokens) + 1)), list(range(-1, len(tokens) - 1))
         queue = []
         for i, pair in enumerate(zip(tokens, tokens[1:])):
@@ -181,6 +194,20 @@ class WordBpe:
                 heapq.heappush(queue, (found[0], h, tokens[h], made, found[1]))
         return [t for t in tokens if t >= 0]
 
+    def merged_short(self, tokens: list[int]) -> list[int]:
+        """The same for few symbols: the order of each pair's merge in a list, the least one first."""
+        get, never = self.orders.get, len(self.made)
+        orders = [get(p, never) for p in zip(tokens, tokens[1:])]
+        while orders and (least := min(orders)) < never:
+            i, made = orders.index(least), self.made[least]
+            tokens[i : i + 2] = [made]
+            del orders[i]
+            if i:
+                orders[i - 1] = get((tokens[i - 1], made), never)
+            if i < len(orders):
+                orders[i] = get((made, tokens[i + 1]), never)
+        return tokens
+
     def reach(self, tokens: np.ndarray) -> np.ndarray:
         """Whether each token encodes to itself."""
         for t in np.unique(tokens[self.reached[tokens] == 0]):
@@ -195,13 +222,7 @@ class WordBpe:
 
     def merged_open(self, word: str) -> list[int]:
         """Exact encoding of a word's start, which has no word end."""
-        tokens = [self.vocab[c] for c in word]
-        while True:
-            found = [(self.merges[p][0], i) for i, p in enumerate(zip(tokens, tokens[1:])) if p in self.merges]
-            if not found:
-                return tokens
-            _, i = min(found)
-            tokens[i : i + 2] = [self.merges[tokens[i], tokens[i + 1]][1]]
+        return self.merged_short([self.vocab[c] for c in word])
 
     def encode_words(self, words: Iterable[str]) -> dict[str, bytes]:
         """Packed tokens of each word: proposals, one test of all their pairs, merging of the rest."""
