@@ -16,7 +16,7 @@ def components(edges: DataFrame) -> DataFrame:
     stars in a number of rounds that grows with the logarithm of the longest path. The
     steps are joins and grouped minima, so a node of any degree is split or pre-aggregated.
     """
-    now = stored(_ordered(edges.select("a", "b")))
+    now, seen = stored(_ordered(edges.select("a", "b"))), None
     while True:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
@@ -26,10 +26,10 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.join(least, "b")
         small = small.select(F.col("a"), F.col("m").alias("b")).unionByName(least.select(F.col("b").alias("a"), F.col("m").alias("b")))
         after = stored(_ordered(small))
-        total = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
-        if now.agg(F.count("*"), total).first() == after.agg(F.count("*"), total).first():
+        is_ = after.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        if is_ == seen:
             break
-        now = after
+        now, seen = after, is_
     # every edge now joins a root and one of its nodes
     roots = after.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("root"))
     return roots.unionByName(after.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct())

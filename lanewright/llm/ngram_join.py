@@ -183,7 +183,7 @@ def second_prefix(tokens: np.ndarray, percent: int) -> set[int]:
 
 
 def _compare(percent: int):
-    """Links between the left and the right documents of a block pair."""
+    """Links between the left and the right documents of a block pair, as few as join what is linked."""
 
     def run(group: pa.Table) -> pa.Table:
         blob, owners = group.column("blob")[0].as_py(), group.column("owner").to_pylist()
@@ -198,13 +198,21 @@ def _compare(percent: int):
             at = np.argsort(tokens, kind="stable")
             pool = (tokens[at], whose[at])
             firsts = [second_prefix(o, percent) for o in others]
+            root = {owner: owner for owner in owners}
+
+            def find(owner: int) -> int:
+                while root[owner] != owner:
+                    root[owner] = owner = root[root[owner]]
+                return owner
+
             for k in left:
                 mine, n = second_prefix(sets[k], percent), len(sets[k])
                 can = [j for j, f in enumerate(firsts) if 100 * min(n, len(others[j])) >= percent * max(n, len(others[j])) and not mine.isdisjoint(f)]
                 if can:
                     found = _linked(sets[k], others, percent, pool)
                     for j in np.intersect1d(found, can):
-                        if owners[k] != owners[right[j]]:
+                        if (x := find(owners[k])) != (y := find(owners[right[j]])):
+                            root[x] = y
                             a.append(owners[k])
                             b.append(owners[right[j]])
         return pa.table({"blob": pa.array([blob] * len(a), pa.int64()), "a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
