@@ -72,19 +72,27 @@ class Radix:
         most = SEGMENT + length
         self.up, self.down = powers(_ODD, most + 1), powers(pow(_ODD, -1, 1 << 64), most + 1)
 
-    def anchors(self, text: bytes) -> Iterator[Anchors]:
-        """Anchors of all suffixes of at least ``length`` bytes, by segments."""
-        for start in range(0, len(text) - self.length + 1, SEGMENT):
-            piece = np.frombuffer(text, dtype=np.uint8)[start : start + SEGMENT + self.length - 1]
-            sums = np.concatenate([[np.uint64(0)], np.cumsum((piece.astype(np.uint64) + np.uint64(1)) * self.up[: len(piece)], dtype=np.uint64)])
+    def anchors(self, data: bytes, ends: np.ndarray | None = None) -> Iterator[Anchors]:
+        """Anchors of all suffixes of at least ``length`` bytes of the texts in ``data``, by segments."""
+        ends = np.array([len(data)]) if ends is None else ends
+        for start in range(0, len(data) - self.length + 1, SEGMENT):
+            piece = np.frombuffer(data, dtype=np.uint8)[start : start + SEGMENT + self.length - 1]
+            sums = np.zeros(len(piece) + 1, dtype=np.uint64)
+            np.cumsum((piece.astype(np.uint64) + np.uint64(1)) * self.up[: len(piece)], dtype=np.uint64, out=sums[1:])
             grams = (sums[self.gram :] - sums[: -self.gram]) * self.down[: len(piece) - self.gram + 1]
             grams = (grams ^ (grams >> np.uint64(32))) * _MIX
             grams ^= grams >> np.uint64(29)
             least = self.least(((grams >> np.uint64(21)) << np.uint64(21)) | np.arange(len(grams), dtype=np.uint64))
-            place = (least & _PLACE).astype(np.int64)
-            first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
+            suffix = np.arange(start, start + len(least))
+            whose = np.searchsorted(ends, suffix, "right")
+            inside = np.flatnonzero(suffix + self.length <= ends[np.minimum(whose, len(ends) - 1)])
+            if not len(inside):
+                continue
+            place, whose = (least[inside] & _PLACE).astype(np.int64), whose[inside]
+            first = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (whose[1:] != whose[:-1])]))
             last = np.append(first[1:], len(place)) - 1
-            yield Anchors(place[first] + start, first + start, last + start, grams[place[first]].view(np.int64))
+            at = place[first]
+            yield Anchors(at + start, inside[first] + start, inside[last] + start, grams[at].view(np.int64))
 
     def least(self, values: np.ndarray) -> np.ndarray:
         """The least value of each ``reach`` values in a row (leftmost of equals by construction)."""
@@ -138,17 +146,17 @@ class Passes:
     parts: Broadcast | None = None  # texts of wanted blocks that do not occur again
     ends: Broadcast | None = None  # cores of the blocks that need the last digit
 
-    def run(self, text: bytes, radix: Radix, last: bool = True):
+    def run(self, data: bytes, radix: Radix, last: bool = True, ends: np.ndarray | None = None):
         """The keys of the next pass as (kind, a, b), and the suffixes known to be repeated as (low, high).
 
-        For the last digit the kind is the place of the string. Wherever some block needs the
+        ``data`` holds the texts one after the other, which end at ``ends``. For the last digit the kind is the place of the string. Wherever some block needs the
         next digit, all blocks with its core give theirs, also those already known to be
         repeated, as they may be where its strings occur again.
         """
         keys: list[tuple[int | np.ndarray, np.ndarray, np.ndarray]] = []
         found: list[tuple[np.ndarray, np.ndarray]] = []
-        view, n = memoryview(text), self.length
-        for a in radix.anchors(text):
+        view, n = memoryview(data), self.length
+        for a in radix.anchors(data, ends):
             if self.grams is None:
                 keys.append((0, a.gram, a.gram * np.int64(3)))
                 continue
@@ -189,13 +197,19 @@ def _those(a: Anchors, chosen: np.ndarray) -> Anchors:
     return Anchors(a.at[chosen], a.low[chosen], a.high[chosen], a.gram[chosen])
 
 
+def in_a_row(batch: pa.RecordBatch, radix: Radix, last: bool = True) -> tuple[bytes, Radix, bool, np.ndarray]:
+    """The texts of a batch in a row and where each ends, as ``Passes.run`` takes them."""
+    texts = octets(batch)
+    return b"".join(texts), radix, last, np.cumsum([len(t) for t in texts], dtype=np.int64)
+
+
 def _keys(passes: Passes):
     """Rows (kind, a, b) of the next pass."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         radix = Radix(passes.length)
         for batch in pieces(batches):
-            rows = [k for text in octets(batch) for k in passes.run(text, radix)[0]]
+            rows = passes.run(*in_a_row(batch, radix))[0]
             if rows:
                 kind = np.concatenate([np.full(len(x), k, dtype=np.int8) for k, x, _ in rows])
                 columns = [kind, *(np.concatenate([r[i] for r in rows]) for i in (1, 2))]
@@ -210,14 +224,14 @@ def _strings(passes: Passes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         radix = Radix(passes.length)
         for batch in pieces(batches):
-            names, rows = [], []
-            for text in octets(batch):
-                for keys in passes.run(text, radix)[0]:
-                    names += [xxhash.xxh3_128_digest(text)] * len(keys[0])
-                    rows.append(keys)
+            data, _, _, ends = both = in_a_row(batch, radix)
+            rows, starts = passes.run(*both)[0], np.append(0, ends[:-1])
             if rows:
-                columns = [pa.array(np.concatenate([r[i] for r in rows])) for i in range(3)]
-                yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), *columns], names=["name", "at", "a", "b"])
+                at, x, y = (np.concatenate([r[i] for r in rows]) for i in range(3))
+                whose = np.searchsorted(ends, at, "right")
+                names = {k: xxhash.xxh3_128_digest(data[starts[k] : ends[k]]) for k in np.unique(whose).tolist()}
+                columns = [pa.array([names[k] for k in whose.tolist()], pa.binary()), *map(pa.array, (at - starts[whose], x, y))]
+                yield pa.RecordBatch.from_arrays(columns, names=["name", "at", "a", "b"])
 
     return run
 
@@ -284,11 +298,20 @@ def repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", length: int
         radix = Radix(length)
         for batch in pieces(batches):
             size, spans, kept = [], [], []
-            for one, also in zip(octets(batch), batch.column("places").to_pylist()):
-                found = passes.run(one, radix, last=False)[1]
+            data, _, _, ends = both = in_a_row(batch, radix, last=False)
+            starts = np.append(0, ends[:-1])
+            found = passes.run(*both)[1]
+            for k, also in enumerate(batch.column("places").to_pylist()):
                 if also:
-                    found.append((np.array(also), np.array(also)))
-                runs = merged(found, length)
+                    found.append((np.array(also) + starts[k], np.array(also) + starts[k]))
+            low, high = (np.concatenate([f[i] for f in found] or [starts[:0]]) for i in (0, 1))
+            order = np.argsort(low, kind="stable")
+            low, high = low[order], high[order]
+            cut = np.searchsorted(low, np.append(starts, len(data) + 1))
+            for k, (start, end) in enumerate(zip(starts.tolist(), ends.tolist())):
+                mine = slice(cut[k], cut[k + 1])
+                runs = merged([(low[mine] - start, high[mine] - start)], length)
+                one = data[start:end]
                 size.append(len(one))
                 spans.append([{"start": a, "end": b} for a, b in runs])
                 edges = [0, *(x for r in runs for x in r), len(one)]
