@@ -41,7 +41,7 @@ GRAM_SHARE = 0.5
 #: Suffixes that share a block in the second digit.
 BLOCK = 10
 #: Suffixes of a text that are looked at together.
-SEGMENT = 1 << 19
+SEGMENT = 1 << 16
 
 _ODD, _MIX = 0x9E3779B97F4A7C15, np.uint64(0xD6E8FEB86659FD93)
 _PLACE = np.uint64((1 << 21) - 1)
@@ -83,13 +83,14 @@ class Radix:
             grams = (grams ^ (grams >> np.uint64(32))) * _MIX
             grams ^= grams >> np.uint64(29)
             least = self.least(((grams >> np.uint64(21)) << np.uint64(21)) | np.arange(len(grams), dtype=np.uint64))
-            suffix = np.arange(start, start + len(least))
-            whose = np.searchsorted(ends, suffix, "right")
-            inside = np.flatnonzero(suffix + self.length <= ends[np.minimum(whose, len(ends) - 1)])
+            over = np.zeros(len(least) + 1, dtype=np.int32)  # suffixes that would run over a text's end
+            np.add.at(over, np.clip(ends - self.length + 1 - start, 0, len(least)), 1)
+            np.add.at(over, np.clip(ends - start, 0, len(least)), -1)
+            inside = np.flatnonzero(np.cumsum(over[:-1]) == 0)
             if not len(inside):
                 continue
-            place, whose = (least[inside] & _PLACE).astype(np.int64), whose[inside]
-            first = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (whose[1:] != whose[:-1])]))
+            place = (least[inside] & _PLACE).astype(np.int64)
+            first = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (inside[1:] != inside[:-1] + 1)]))
             last = np.append(first[1:], len(place)) - 1
             at = place[first]
             yield Anchors(at + start, inside[first] + start, inside[last] + start, grams[at].view(np.int64))
