@@ -46,7 +46,7 @@ SIEVE_LOG2 = 26
 #: Documents and tokens of a block.
 BLOCK_ROWS, BLOCK_TOKENS = 64, 1 << 18
 #: Words kept with their hashes in a worker; when there are more, the store starts anew.
-KNOWN_WORDS = 300_000
+KNOWN_WORDS = 150_000
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _BLANKS = frozenset(b" \t\n\r\x0b\x0c")

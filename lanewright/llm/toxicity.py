@@ -37,7 +37,7 @@ BATCH = 32
 #: Longer words are taken in pieces.
 LONGEST_WORD = 64
 #: Words kept with their scores in a worker; when there are more, the store starts anew.
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 150_000
 #: Scores from here on are toxic.
 THRESHOLD = 0.3
 
