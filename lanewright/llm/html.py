@@ -4,9 +4,10 @@ The standard library's parser streams its events into lines, one for each block
 elements that never hold an article's text (menus, headers, footers, sidebars, notices,
 adverts, forms, scripts, reader comments) give no lines. Each line has a text-to-tag ratio:
 its characters over its tags. The ratios are smoothed by a Gaussian and split by a
-threshold into content and other lines. The content region is the innermost element that
-holds most of the content's characters (an article or main element, if one does); all of
-its lines are the main text, so that a short paragraph between long ones is never lost.
+threshold into content and other lines. The content region is an article or main element,
+if one holds most of the content's characters, else the innermost element that holds all of
+them; all of its lines are the main text, so that a short paragraph between long ones is
+never lost.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from lanewright.llm.batches import pieces, strings
 SIGMA, REACH = 1.0, 3
 #: A line is content from this share of the smoothed ratios' standard deviation on.
 THRESHOLD = 0.5
-#: The region holds at least this share of the content's characters.
+#: An article or main element is the region if it holds at least this share of the content's characters.
 REGION_SHARE = 0.6
 
 # fixed values: names of HTML
@@ -187,7 +188,7 @@ def content(lines: list[Line]) -> np.ndarray:
 
 
 def region(lines: list[Line], kinds: list[str], chosen: np.ndarray) -> int | None:
-    """The element that holds the content: an article or main element, else the innermost with enough of it.
+    """The element that holds the content: an article or main element, else the innermost with all of it.
 
     None stands for the page.
     """
@@ -202,8 +203,9 @@ def region(lines: list[Line], kinds: list[str], chosen: np.ndarray) -> int | Non
     articles = [n for n in weight if kinds[n] in ARTICLE]
     if articles:  # the outermost article with the most content; a main element that holds several is one
         best = max(articles, key=lambda n: (weight[n], -n))
-        return best if weight[best] >= REGION_SHARE * total or not enough else _inner(enough, kinds)
-    return _inner(enough, kinds)
+        if weight[best] >= REGION_SHARE * total or not enough:
+            return best
+    return _inner([n for n in enough if weight[n] == total], kinds)
 
 
 def _inner(enough: list[int], kinds: list[str]) -> int | None:

@@ -45,6 +45,13 @@ def test_short_article_beside_long_noise():
     assert op.main_text(page) == "No. No."
 
 
+@pytest.mark.parametrize("wrap", ["<div><div>{}{}</div><div>{}</div></div>", "<div><p>{}</p><ul><li>{}</ul><section>{}</section></div>", "<table><tr><td>{}{}<td>{}</table>"])
+def test_content_split_over_blocks(wrap):
+    """Without an article or main element, all blocks with content are main text, whatever their shares."""
+    page = f"<body>{NOISE}{wrap.format(*(f'<p>{x} {LONG}</p>' for x in 'abc'))}{COMMENTS}{FOOT}"
+    assert op.main_text(page) == f"a {LONG} b {LONG} c {LONG}"
+
+
 def test_deep_and_long_pages():
     assert op.main_text("<div>" * 3000 + "x") == "x"
     assert op.main_text("<p>word</p>" * 20_000).count("word") == 20_000
