@@ -13,6 +13,7 @@ from __future__ import annotations
 import random
 import re
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -83,11 +84,11 @@ def base_spans(text: str) -> list[Span]:
 DIGIT = re.compile(r"[0-9]")
 TOKEN = re.compile(r"[A-Za-z]+|[0-9]+|\s+|[^A-Za-z0-9\s]")
 #: Stretches: chunks with a digit or an @, or spelled-out parts of an address, with at most a blank between them.
-CHUNK = r"(?:[^\s@0-9]{0,64}[@0-9]\S*|\(?(?:at|dot)\)?|\[(?:at|dot)\])"
+CHUNK = r"(?:[^\s@0-9]*+[@0-9]\S*+|\(?(?:at|dot)\)?|\[(?:at|dot)\])"
 STRETCH = re.compile(rf"(?<!\S)(?:[A-Za-z][A-Za-z._-]*\x20(?=[(\[]?at[)\]]?\x20))?{CHUNK}(?:\x20(?:{CHUNK}|[A-Za-z-]+(?=\x20[(\[]?dot[)\]]?\x20)|(?<=dot\x20)[A-Za-z]{{2,6}}|(?<=dot\)\x20)[A-Za-z]{{2,6}}|(?<=dot\]\x20)[A-Za-z]{{2,6}})(?!\S))*")
 WORTH = re.compile(r"[0-9](?:[^0-9\s]?[\x20]?[^0-9\s]?[0-9]){6}|@|\bdot\b")
-#: Longer stretches are cut into pieces of so many characters.
-STRETCH_CHARS = 400
+#: Tokens of a part of a longer stretch, and tokens seen on either side of it, more than an entity has.
+PART_TOKENS, AROUND_TOKENS = 100, 2 * MAX_TOKENS
 SPELLED_AT, SPELLED_DOT = re.compile(r"\x20[(\[]?at[)\]]?\x20"), re.compile(r"\x20[(\[]?dot[)\]]?\x20")
 HOST = re.compile(r"[@\x20.][A-Za-z0-9-]+(?:\.|\x20[(\[]?dot[)\]]?\x20)[A-Za-z]{2,6}$")
 NAMES = {"email": "mail email contact write", "ip": "ip address host server", "card": "card visa credit account", "phone": "tel phone call fax mobile"}
@@ -126,11 +127,13 @@ def features(text: str, before: str, after: str, cue: str) -> list[str]:
 
 
 class Stretch:
-    """Tokens of a stretch and its candidate segments (first token, end token, features)."""
+    """Tokens of a stretch or a part of it, and its candidate segments (first token, end token, features)."""
 
-    def __init__(self, text: str, start: int, end: int):
+    def __init__(self, text: str, start: int, end: int, whole: int | None = None):
+        """``whole`` is where the whole stretch starts; the words before it are the cue."""
         self.marks = [m.span() for m in TOKEN.finditer(text, start, end)]
-        words = re.findall(r"[a-z]+", text[max(0, start - 24) : start].lower())
+        whole = start if whole is None else whole
+        words = re.findall(r"[a-z]+", text[max(0, whole - 24) : whole].lower())
         cue = next((CUES[w] for w in reversed(words[-2:]) if w in CUES), "")
         self.segments: list[tuple[int, int, list[str]]] = []
         for i, (a, first_end) in enumerate(self.marks):
@@ -270,8 +273,23 @@ def stretches(text: str) -> Iterator[tuple[int, int]]:
     """Places where personal data may stand; found in linear time."""
     for m in STRETCH.finditer(text):
         if WORTH.search(m[0]):
-            for start in range(m.start(), m.end(), STRETCH_CHARS):
-                yield start, min(m.end(), start + STRETCH_CHARS)
+            yield m.span()
+
+
+def parts(text: str, start: int, end: int) -> Iterator[tuple[int, int, int, int]]:
+    """Parts of a stretch that overlap: start, end, and from where to where the entities start that it decides.
+
+    Parts end at token borders; each place of the stretch is decided by one part, which sees
+    ``AROUND_TOKENS`` on either side, so that it holds each of its entities wholly.
+    """
+    marks = (m.span() for m in TOKEN.finditer(text, start, end))
+    held, first = list(islice(marks, PART_TOKENS + AROUND_TOKENS)), 0
+    while first < len(held):
+        more = list(islice(marks, PART_TOKENS))
+        last = first + PART_TOKENS if more else len(held)
+        yield held[0][0], held[-1][1], held[first][0], held[last - 1][1]
+        kept = max(0, last - AROUND_TOKENS)
+        held, first = held[kept:] + more, last - kept
 
 
 def variants(text: str, kind: str, rng: random.Random) -> list[str]:
@@ -306,8 +324,10 @@ def trained(texts: list[str]) -> Field:
     rng, examples = random.Random(7), []
 
     def add(text: str, spans: list[Span]) -> None:
-        for start, end in stretches(text):
-            stretch = Stretch(text, start, end)
+        for whole, start, end in ((at, a, b) for at, to in stretches(text) for a, b, _, _ in parts(text, at, to)):
+            if any(s[0] < start < s[1] or s[0] < end < s[1] for s in spans):  # a neighbouring part holds it wholly
+                continue
+            stretch = Stretch(text, start, end, whole)
             inside = [s for s in spans if start <= s[0] and s[1] <= end]
             chosen, at = [], 0
             for s in sorted(inside, key=lambda s: (s[0], -s[1])):  # of overlapping ones the longest from the left
@@ -342,16 +362,26 @@ def trained(texts: list[str]) -> Field:
 
 def field_spans(text: str, field: Field, min_probability: float = MIN_PROBABILITY) -> list[Span]:
     """Entities of the best segmentation of each stretch that are probable enough."""
-    out = []
-    for start, end in stretches(text):
-        stretch = Stretch(text, start, end)
-        found = field.best(stretch) if stretch.segments else []
-        if found:
+    out: list[Span] = []
+    for whole, to in stretches(text):
+        before = None  # the last entity, and its probability; parts may disagree on overlapping ones
+        for start, end, first, last in parts(text, whole, to):
+            stretch = Stretch(text, start, end, whole)
+            found = field.best(stretch) if stretch.segments else []
+            if not found:
+                continue
             sure = field.marginals(stretch, [field.number(f) for _, _, f in stretch.segments])
             at = {(i, j): k for k, (i, j, _) in enumerate(stretch.segments)}
-            out += [
-                (stretch.marks[i][0], stretch.marks[j - 1][1], LABELS[y]) for i, j, y in found if sure[at[i, j], y] >= min_probability
-            ]
+            for i, j, y in found:
+                span, p = (stretch.marks[i][0], stretch.marks[j - 1][1], LABELS[y]), sure[at[i, j], y]
+                if not first <= span[0] < last or p < min_probability:
+                    continue
+                if before and span[0] < before[0][1]:
+                    if p <= before[1]:
+                        continue
+                    out.pop()
+                out.append(span)
+                before = span, p
     return out
 
 

@@ -52,6 +52,25 @@ def test_field_adds_other_notations(field):
         assert [s[2] for s in spans] == [kind], (text, spans)
 
 
+def test_long_stretches_keep_entities_at_every_place(field):
+    """Lists of numbers without white space, and data far from white space."""
+    numbers = [f"212-555-{k:04d}" for k in range(300)]
+    for start in ("", "x", "xxxxxx"):
+        text = "of " + start + ("," if start else "") + ",".join(numbers) + " it"
+        found = {text[a:b] for a, b, _ in pii.all_spans(text, field)[1]}
+        assert found == set(numbers)
+    for text in ["of " + "x" * 500 + ",212-555-0142 it", "of " + "ab," * 50 + "212-555-0142," + "ab," * 50 + " it"]:
+        assert [text[a:b] for a, b, _ in pii.all_spans(text, field)[1]] == ["212-555-0142"], text
+
+
+def test_parts_cover_a_stretch():
+    for n in (0, 1, 99, 100, 131, 132, 133, 232, 233, 1000):
+        text = "1," * (n // 2) + "1" * (n % 2)
+        got = list(pii.parts(text, 0, len(text)))
+        assert [p for _, _, a, b in got for p in range(a, b)] == list(range(len(text)))
+        assert all(s == max(0, a - pii.AROUND_TOKENS) and (e >= b + pii.AROUND_TOKENS or e == len(text)) for s, e, a, b in got)
+
+
 def test_field_leaves_other_numbers(field):
     for text in ["on 2024-03-15 12:30:45 it", "version 12.4.10293 of", "number 48201734 there", "1,204,500 of them",
                  "token 04dbebab91ab85687d33eeaaf9ac699e1188f962 it", "look at 12345678 now", "sum 9807915762804490 it"]:
