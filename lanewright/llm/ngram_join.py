@@ -306,11 +306,16 @@ def _links(every: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """The documents without near copies: of each component the one with the smallest id stays.
+    """The documents without near copies: of each component the row with the smallest id stays.
 
-    All columns stay. Documents without words, or with a null id, stay; of repeated rows
-    with the smallest id all stay.
+    All columns stay. Rows are judged one by one: of repeated rows one stays, and an id that
+    several texts have may stay with one and go with another. Documents without words stay;
+    of a component's rows with a null id one stays beside the one with the smallest id.
     """
-    found = similar(docs, id, text, words, percent).select(F.col(id).alias("_id"), "component_id")
-    gone = found.filter(F.col("_id") != F.col("component_id")).select("_id").distinct()
-    return docs.join(gone, docs[id] == gone["_id"], "left_anti")
+    # rows get numbers that are written before they are used, so that they do not change
+    rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()))
+    found = similar(rows, "_row", text, words, percent).select("_row", "component_id")
+    found = stored(found.join(rows.select("_row", F.col(id).alias("_id")), "_row"))
+    groups = found.groupBy("component_id", F.col("_id").isNull()).agg(F.min(F.struct("_id", "_row")).alias("least"))
+    gone = found.select("_row").join(groups.select(F.col("least._row").alias("_row")), "_row", "left_anti")
+    return rows.join(gone, "_row", "left_anti").drop("_row")

@@ -126,6 +126,14 @@ def test_frames(spark):
     assert sorted(str(r.doc_id) for r in op.keep_one(docs).collect()) == ["3", "7", "8", "9", "None", "None"]
 
 
+def test_keep_one_decides_by_row(spark):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(20)) for x in "abc")
+    rows = [(1, b), (5, a), (6, a), (5, b), (2, c), (2, c), (3, c), (None, "null one"), (None, "null one"), (4, ""), (4, "")]
+    docs = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, place long").repartition(3)
+    got = sorted(((r.doc_id, r.text) for r in op.keep_one(docs).collect()), key=str)
+    assert got == sorted([(1, b), (5, a), (2, c), (None, "null one"), (4, ""), (4, "")], key=str)
+
+
 def test_query(spark):
     sf = "/root/testdata/sf0.001"
     found = differences(queries.op9_ngram_join(spark, sf), duck(sf), queries.SQL["op9_ngram_join"])
