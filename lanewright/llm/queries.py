@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanewright.llm import bpe, decontaminate, html, lm, ngram_join, pii, secrets, spotsigs, suffix_dedup, toxicity
+from lanewright.llm import bpe, decontaminate, html, lm, ngram_join, pii, runs, secrets, spotsigs, suffix_dedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -263,3 +263,69 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *(counted(k, "s.base").alias(f"n_{k}") for k in pii.KINDS),
         F.sha2(listed("filter(spans, s -> s.base)"), 256).alias("base_sha256"), listed("spans").alias("spans"),
     )
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and ``text``; in every tenth document, by hash, the words from place a on repeat with period p."""
+    hashed = docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string")).alias("h"))
+    # the words of chosen documents only
+    chosen = F.expr(r"if(h % 10 = 0, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+', 0), null)")
+    words = hashed.withColumn("w", chosen).withColumns({"g": F.expr("h div 10"), "n": F.expr("nullif(size(w), 0)")})
+    words = words.withColumn("a", F.expr("cast(g % n as int)"))
+    words = words.withColumn("p", F.expr("cast(1 + (n - a) div (3 + g % 8) as int)"))
+    repeated = F.expr("flatten(array_repeat(slice(w, a + 1, p), cast(ceil((n - a) / p) as int)))")
+    planted = F.concat_ws(" ", F.expr("slice(w, 1, a)"), F.slice(repeated, F.lit(1), F.expr("n - a")))
+    return words.select("doc_id", F.when(F.expr("n > 0"), planted).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every document, a tenth of which get repetitions."""
+    found = runs.periodic_runs(with_planted_runs(table(spark, sf_dir, "documents")))
+    best = F.expr(
+        "aggregate(runs, cast(null as struct<start:bigint,length:bigint,period:bigint>), (b, r) -> "
+        "if(b is null or r.length * b.period > b.length * r.period, r, b))"
+    )
+    lines = F.expr("concat_ws('', transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\\n')))")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), *(F.col(f"best.{c}").alias(c) for c in ("start", "length", "period")),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+# the checksum of a text's bytes (ASCII digits here), bit by bit; its constant is the fixed polynomial
+CRC32 = """xor(4294967295::BIGINT, list_reduce(
+  list_concat([4294967295::BIGINT], list_transform(string_split({text}, ''), c -> ascii(c)::BIGINT)),
+  (crc, byte) -> list_reduce(list_concat([xor(crc, byte)], range(8)),
+    (x, k) -> CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)))"""
+
+SQL["op11_runs"] = rf"""
+WITH texts AS (
+  SELECT row_number() OVER () AS row, doc_id, {CRC32.format(text="CAST(doc_id AS VARCHAR)")} AS h,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+drawn AS (SELECT *, len(w) AS n, h // 10 AS g, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a FROM texts),
+words AS (
+  SELECT row, i, CASE WHEN h % 10 = 0 AND i >= a THEN w[1 + a + (i - a) % (1 + (n - a) // (3 + g % 8))] ELSE w[1 + i] END AS word
+  FROM (SELECT *, unnest(range(n)) AS i FROM drawn)),
+same AS (
+  SELECT x.row, x.i, y.i - x.i AS p
+  FROM words x JOIN words y ON x.row = y.row AND x.word = y.word AND x.i < y.i
+  JOIN drawn ON drawn.row = x.row AND 3 * (y.i - x.i) <= drawn.n),
+stretches AS (
+  SELECT row, p, min(i) AS s, count(*) + p AS l
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY row, p ORDER BY i) AS island FROM same) GROUP BY row, p, island
+  HAVING count(*) + p >= greatest(24, 3 * p)),
+runs AS (SELECT row, s, l, min(p) AS p FROM stretches GROUP BY row, s, l),
+listed AS (
+  SELECT row, count(*) AS n_runs, string_agg(concat(s, ',', l, ',', p, chr(10)), '' ORDER BY s, p) AS lines
+  FROM runs GROUP BY row),
+best AS (SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY row ORDER BY l::DOUBLE / p DESC, s, p) = 1),
+dropped AS (SELECT DISTINCT row, unnest(range(s + p, s + l)) AS i FROM runs),
+left_over AS (
+  SELECT row, string_agg(word, ' ' ORDER BY i) AS rest FROM words ANTI JOIN dropped USING (row, i) GROUP BY row)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, s AS start, l AS length, p AS period, 1000 * l // p AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(rest, '')) AS collapsed_sha256
+FROM texts LEFT JOIN listed USING (row) LEFT JOIN best USING (row) LEFT JOIN left_over USING (row)
+"""
