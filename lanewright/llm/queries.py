@@ -296,9 +296,9 @@ def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # the checksum of a text's bytes (ASCII digits here), bit by bit; its constant is the fixed polynomial
 CRC32 = """xor(4294967295::BIGINT, list_reduce(
-  list_concat([4294967295::BIGINT], list_transform(string_split({text}, ''), c -> ascii(c)::BIGINT)),
-  (crc, byte) -> list_reduce(list_concat([xor(crc, byte)], range(8)),
-    (x, k) -> CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)))"""
+  list_concat([4294967295::BIGINT], list_transform(string_split({text}, ''), lambda c: ascii(c)::BIGINT)),
+  lambda crc, byte: list_reduce(list_concat([xor(crc, byte)], range(8)),
+    lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)))"""
 
 SQL["op11_runs"] = rf"""
 WITH texts AS (
