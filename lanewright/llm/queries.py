@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanewright.llm import bpe, decontaminate, html, lm, ngram_join, pii, runs, secrets, spotsigs, suffix_dedup, toxicity
+from lanewright.llm import bpe, decontaminate, html, lm, merkle, ngram_join, pii, runs, secrets, spotsigs, suffix_dedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -329,3 +329,75 @@ SELECT doc_id, coalesce(n_runs, 0) AS n_runs, s AS start, l AS length, p AS peri
        sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(rest, '')) AS collapsed_sha256
 FROM texts LEFT JOIN listed USING (row) LEFT JOIN best USING (row) LEFT JOIN left_over USING (row)
 """
+
+
+LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@query
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifest of the documents by language; a third of them, by hash, claim a changed text."""
+    docs = table(spark, sf_dir, "documents")
+    head = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    changed = F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, merkle.leaf([*head, F.expr(LOWERED)]))
+    rows = docs.select("doc_id", "lang", merkle.leaf([*head, F.col("text")]).alias("leaf"), changed.alias("claim"))
+    found = merkle.manifest(rows, claim="claim")
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+def sized(column: str) -> str:
+    """A value as SQL text: its number of UTF-8 bytes and itself."""
+    return f"CASE WHEN {column} IS NULL THEN '-' ELSE concat(octet_length(encode(CAST({column} AS VARCHAR))), ':', {column}) END"
+
+
+SQL["op12_merkle"] = rf"""
+WITH RECURSIVE rows AS (
+  SELECT row_number() OVER () AS row, doc_id, lang, {CRC32.format(text="CAST(doc_id AS VARCHAR)")} % 3 = 0 AS changed,
+         concat({sized("doc_id")}, {sized("source")}, {sized("lang")}, {sized("n_chars")}) AS head, text
+  FROM documents),
+leaves AS (
+  SELECT row, doc_id, lang, sha256(concat(head, {sized("text")})) AS leaf,
+         CASE WHEN changed THEN sha256(concat(head, {sized(LOWERED)})) END AS claim FROM rows),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+         count(*) OVER (PARTITION BY lang) AS size FROM leaves),
+own AS (
+  SELECT lang, 0 AS level, pos, size, leaf AS d FROM placed
+  UNION ALL
+  SELECT lang, level + 1, pos // 8, (size + 7) // 8, sha256(string_agg(d, '' ORDER BY pos))
+  FROM own WHERE size > 1 GROUP BY lang, level, pos // 8, size),
+subroots AS (
+  SELECT lang, level, d, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS size
+  FROM own WHERE size = 1),
+top AS (
+  SELECT 0 AS level, pos, size, d FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 8, (size + 7) // 8, sha256(string_agg(d, '' ORDER BY pos))
+  FROM top WHERE size > 1 GROUP BY level, pos // 8, size),
+sides AS (
+  SELECT p.row, n.level, n.pos < p.pos // pow(8, n.level)::BIGINT AS before, n.pos, n.d
+  FROM placed p JOIN own n ON n.lang IS NOT DISTINCT FROM p.lang AND n.size > 1
+    AND n.pos // 8 = p.pos // pow(8, n.level + 1)::BIGINT AND n.pos <> p.pos // pow(8, n.level)::BIGINT
+  UNION ALL
+  SELECT p.row, s.level + n.level, n.pos < s.pos // pow(8, n.level)::BIGINT, n.pos, n.d
+  FROM placed p JOIN subroots s ON s.lang IS NOT DISTINCT FROM p.lang JOIN top n ON n.size > 1
+    AND n.pos // 8 = s.pos // pow(8, n.level + 1)::BIGINT AND n.pos <> s.pos // pow(8, n.level)::BIGINT),
+joined AS (
+  SELECT row, level, coalesce(string_agg(d, '' ORDER BY pos) FILTER (before), '') AS l,
+         coalesce(string_agg(d, '' ORDER BY pos) FILTER (NOT before), '') AS r
+  FROM sides GROUP BY row, level),
+heights AS (SELECT lang, s.level + (SELECT max(level) FROM top) AS h FROM subroots s),
+fold AS (
+  SELECT row, 0 AS level, coalesce(claim, leaf) AS d, h FROM placed JOIN heights ON heights.lang IS NOT DISTINCT FROM placed.lang
+  UNION ALL
+  SELECT fold.row, fold.level + 1, sha256(concat(l, d, r)), h
+  FROM fold LEFT JOIN joined ON joined.row = fold.row AND joined.level = fold.level WHERE fold.level < h),
+proofs AS (SELECT row, sha256(string_agg(concat(l, r), '' ORDER BY level)) AS proof FROM joined GROUP BY row)
+SELECT p.doc_id, p.leaf, s.d AS subroot, t.d AS root, coalesce(proof, sha256('')) AS proof_sha256,
+       f.d AS folded_root, f.d = t.d AS verified
+FROM placed p JOIN subroots s ON s.lang IS NOT DISTINCT FROM p.lang JOIN top t ON t.size = 1
+  JOIN fold f ON f.row = p.row AND f.level = f.h LEFT JOIN proofs ON proofs.row = p.row
+"""
