@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lanewright.llm import bpe, decontaminate, html, lm, merkle, ngram_join, pii, runs, secrets, spotsigs, suffix_dedup, toxicity
+from lanewright.llm import bpe, decontaminate, html, lm, merkle, ngram_join, pii, runs, secrets, spotsigs, suffix_dedup, token_files, toxicity
+from lanewright.llm.shared import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -401,3 +402,12 @@ SELECT p.doc_id, p.leaf, s.d AS subroot, t.d AS root, coalesce(proof, sha256('')
 FROM placed p JOIN subroots s ON s.lang IS NOT DISTINCT FROM p.lang JOIN top t ON t.size = 1
   JOIN fold f ON f.row = p.row AND f.level = f.h LEFT JOIN proofs ON proofs.row = p.row
 """
+
+
+@query
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, written to files in id order and read back."""
+    path = new_path(spark)
+    token_files.write(table(spark, sf_dir, "documents"), path)
+    found = token_files.read(spark, path)
+    return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))

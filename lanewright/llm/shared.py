@@ -28,9 +28,14 @@ def _own_folder() -> str:
     return tempfile.mkdtemp(prefix="checkpoints-")
 
 
+def new_path(spark: SparkSession) -> str:
+    """A path of its own in the shared folder."""
+    return f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+
+
 def stored(df: DataFrame) -> DataFrame:
     """The rows of ``df`` written as Parquet and read back; a lost executor costs a read only."""
-    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    path = new_path(df.sparkSession)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
