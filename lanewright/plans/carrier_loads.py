@@ -13,6 +13,7 @@ from lanewright.operators.joins import consolidate
 from lanewright.plans.trailer_plan import COUNTRY, INVOICE_DAYS, STORE_FREIGHT, store_loads, with_zone
 from lanewright.operators.scans import join_groups
 from lanewright.session import staged
+from lanewright.sources import partitions
 from lanewright.sources.datasets import delete_matching, delete_orphans, merge_upsert
 
 # Plan states that count as loads in the modern system.
@@ -24,6 +25,7 @@ LOAD_COLUMNS = [
 ]
 LANE_KEYS = ["origin_location_id", "dest_location_id", "trailer_id", "projected_date"]
 TRACKING_KEYS = ["load_id", "projected_date"]
+CANCEL_KEYS = ["load_id", "origin_location_id", "dest_location_id"]
 TRACKING_UPDATES = [
     "refresh_ts", "trip_id", "trailer_id", "load_status_code", "trip_status_code", "delivery_slot", "ready_ts",
     "projected_ts", "depart_ts", "total_cases", "total_cube", "total_weight", "trailer_util_pct",
@@ -103,14 +105,35 @@ def combined(
     return rows.withColumn("trailer_util_pct", utilisation(F.col("total_cube")))
 
 
+def _tracking_columns(target: list[str], stamped: list[str]) -> tuple[list[str], list[str]]:
+    """Columns of a tracking table that an upsert updates, and those it inserts."""
+    updates = [c for c in [*TRACKING_UPDATES, "data_source"] if c in target and c in stamped]
+    return updates, [c for c in target if c in stamped]
+
+
 def refresh_tracking(
     target: DataFrame, source: DataFrame, cancelled: DataFrame, now: dt.datetime, drop_orphans: bool = False
 ) -> DataFrame:
     """Tracking table after upsert and deletions; optionally without rows whose date moved away."""
     source = staged(source)
     stamped = source.withColumn("refresh_ts", moment(now))
-    updates = [c for c in [*TRACKING_UPDATES, "data_source"] if c in target.columns and c in stamped.columns]
-    inserts = [c for c in target.columns if c in stamped.columns]
-    merged = merge_upsert(target, stamped, TRACKING_KEYS, updates, inserts)
-    kept = delete_matching(merged, cancelled, ["load_id", "origin_location_id", "dest_location_id"])
+    merged = merge_upsert(target, stamped, TRACKING_KEYS, *_tracking_columns(target.columns, stamped.columns))
+    kept = delete_matching(merged, cancelled, CANCEL_KEYS)
     return delete_orphans(kept, source, "load_id", "projected_date") if drop_orphans else kept
+
+
+def refresh_stored_tracking(
+    path: str, source: DataFrame, cancelled: DataFrame, now: dt.datetime, drop_orphans: bool = False
+) -> DataFrame:
+    """The same on a dataset partitioned by projected date, of which only touched dates are rewritten; ``source`` is read often."""
+    spark, stamped = source.sparkSession, source.withColumn("refresh_ts", moment(now))
+    if not partitions.exists(spark, path):
+        kept = delete_matching(stamped, cancelled, CANCEL_KEYS)
+        partitions.create(kept, path, "projected_date", now)
+        return partitions.read(spark, path)
+    target = partitions.read(spark, path).columns
+    partitions.upsert(spark, path, stamped, TRACKING_KEYS, *_tracking_columns(target, stamped.columns), now)
+    partitions.delete_matching(spark, path, cancelled, CANCEL_KEYS, now)
+    if drop_orphans:
+        partitions.delete_orphans(spark, path, source, "load_id", "projected_date", now)
+    return partitions.read(spark, path)

@@ -14,6 +14,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from lanewright.plans import carrier_loads, technician_activity, trailer_plan
+from lanewright.sources import partitions
 from lanewright.sources.datasets import (
     append_rows, committed_at, current_version, publish_always, quality_row, read_current, snapshot, write_version,
 )
@@ -35,7 +36,8 @@ class Warehouse:
         return self.read(name)
 
     def read(self, name: str) -> DataFrame:
-        return read_current(self.spark, self.path(name))
+        by_part = partitions.exists(self.spark, self.path(name))
+        return (partitions.read if by_part else read_current)(self.spark, self.path(name))
 
     def has(self, name: str) -> bool:
         return current_version(self.spark, self.path(name)) is not None
@@ -62,12 +64,7 @@ def run_trailer_plan(tables: Tables, warehouse: Warehouse) -> DataFrame:
     lines = trailer_plan.invoice_line_volume(t["invoice_line"], t["item_current_adj"], t["pick_code_class"], now)
     invoices = store("trailer_plan_invoices", trailer_plan.invoice_volume(t["invoice_header"], lines))
     store("trailer_plan_quantities", trailer_plan.load_quantities(both, invoices))
-    if warehouse.has("trailer_plan"):
-        plan = trailer_plan.refresh_plan(warehouse.read("trailer_plan"), t["trailer_plan_staged"], t["cancelled_loads"])
-    else:
-        plan = trailer_plan.delete_matching(
-            t["trailer_plan_staged"], t["cancelled_loads"], ["load_id", "orig_loc_id", "dest_loc_id"])
-    plan = store("trailer_plan", plan)
+    plan = trailer_plan.refresh_stored_plan(warehouse.spark, warehouse.path("trailer_plan"), t["trailer_plan_staged"], t["cancelled_loads"], now)
     return store("trailer_plan_dashboard_base", trailer_plan.dashboard_base(plan, t["store_dim_cur"], t["dc_dim"]))
 
 
@@ -80,12 +77,8 @@ def run_carrier_loads(tables: Tables, warehouse: Warehouse, lineage: bool = Fals
         t["plan_data"], t["dc_dim"], t["psn_load"], t["store_dim"], t["time_zone_lookup"]))
     combined = store("carrier_loads_combined", carrier_loads.combined(
         modern, legacy, t["invoice_summary"], now, lineage="data_source" if lineage else None))
-    if warehouse.has("carrier_load_tracking"):
-        target = warehouse.read("carrier_load_tracking")
-    else:
-        target = combined.limit(0).withColumn("refresh_ts", carrier_loads.moment(now))
-    return store("carrier_load_tracking", carrier_loads.refresh_tracking(
-        target, combined, t["cancelled_loads"], now, drop_orphans=lineage))
+    return carrier_loads.refresh_stored_tracking(
+        warehouse.path("carrier_load_tracking"), combined, t["cancelled_loads"], now, drop_orphans=lineage)
 
 
 def run_technician_activity(tables: Tables, warehouse: Warehouse, project: str, dataset: str) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lanewright.functions import rules
@@ -21,6 +21,7 @@ from lanewright.operators.joins import by_priority, consolidate, date_window_or_
 from lanewright.operators.scans import count_distinct_over, join_groups, totals_over
 from lanewright.operators.versions import first_versions, latest_version, singleton_only
 from lanewright.session import staged
+from lanewright.sources import partitions
 from lanewright.sources.datasets import delete_matching, merge_upsert
 
 # Scope of the plan.
@@ -42,6 +43,7 @@ LOAD_COLUMNS = [
     "last_trailer_door_close_ts", "begin_trip_ts", "end_trip_ts",
 ]
 PLAN_KEYS = ["load_id", "run_date"]
+CANCEL_KEYS = ["load_id", "orig_loc_id", "dest_loc_id"]
 PLAN_UPDATES = [
     "refresh_time", "trip_id", "trailer_id", "orig_loc_id", "dest_loc_id", "delivery_slot", "case_qty",
     "cube_qty", "weight_qty", "trlr_util_pct", "ready_ts", "projected_ts", "begin_trip_ts", "end_trip_ts",
@@ -422,7 +424,19 @@ def load_quantities(loads: DataFrame, invoices: DataFrame) -> DataFrame:
 def refresh_plan(target: DataFrame, staged: DataFrame, cancelled: DataFrame) -> DataFrame:
     """Plan after merging the staged rows and deleting cancelled loads."""
     merged = merge_upsert(target, staged, PLAN_KEYS, PLAN_UPDATES, [*PLAN_KEYS, *PLAN_UPDATES])
-    return delete_matching(merged, cancelled, ["load_id", "orig_loc_id", "dest_loc_id"])
+    return delete_matching(merged, cancelled, CANCEL_KEYS)
+
+
+def refresh_stored_plan(
+    spark: SparkSession, path: str, staged: DataFrame, cancelled: DataFrame, now: dt.datetime
+) -> DataFrame:
+    """The same on a dataset partitioned by run date, of which only touched dates are rewritten."""
+    if partitions.exists(spark, path):
+        partitions.upsert(spark, path, staged, PLAN_KEYS, PLAN_UPDATES, [*PLAN_KEYS, *PLAN_UPDATES], now)
+        partitions.delete_matching(spark, path, cancelled, CANCEL_KEYS, now)
+    else:
+        partitions.create(delete_matching(staged, cancelled, CANCEL_KEYS), path, "run_date", now)
+    return partitions.read(spark, path)
 
 
 # -- stage 9 ---------------------------------------------------------------------------------

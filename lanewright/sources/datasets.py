@@ -43,11 +43,10 @@ def committed_at(spark: SparkSession, path: str) -> dt.datetime | None:
     return commits(spark, path).agg(F.max_by("committed_at", "version")).first()[0]
 
 
-def _commit(spark: SparkSession, path: str, version: int, at: dt.datetime, expires: dt.datetime | None, folder: str) -> None:
-    """Adds the version's row to the log; fails if another writer has committed that version."""
-    row = {"version": version, "committed_at": at.isoformat(), "expires_at": expires and expires.isoformat(), "folder": folder}
+def add_commit(spark: SparkSession, path: str, row: dict) -> None:
+    """Adds a version's row to the log; fails if another writer has committed that version."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    place = hadoop.Path(f"{path}/commits/v{version:08d}.json")
+    place = hadoop.Path(f"{path}/commits/v{row['version']:08d}.json")
     out = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(place, False)
     out.write(bytearray(json.dumps(row).encode()))
     out.close()
@@ -69,7 +68,9 @@ def write_version(
         df = df.repartitionByRange(*[F.col(c) for c in cluster_by], spread).sortWithinPartitions(*cluster_by)
     folder = f"v{version:08d}-{uuid.uuid4().hex[:12]}"  # of this writer alone
     df.write.parquet(f"{path}/{folder}")
-    _commit(spark, path, version, committed_at, expires_at, folder)
+    add_commit(spark, path, {
+        "version": version, "committed_at": committed_at.isoformat(), "expires_at": expires_at and expires_at.isoformat(), "folder": folder,
+    })
     return version
 
 
