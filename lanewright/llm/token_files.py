@@ -268,10 +268,10 @@ def read(spark: SparkSession, path: str, id: str = "doc_id") -> DataFrame:
     ``ids`` are packed as little-endian unsigned 32-bit integers, the end id included.
     """
     blocks = spark.read.parquet(path)
-    # a row for each task that wrote
+    # a row for each partition of the write at most, as many as its setting says
     parts = blocks.groupBy("part").agg(F.sum("n").alias("_n"))
     earlier = F.sum("_n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_n")
-    placed = blocks.join(parts.select("part", earlier.alias("_earlier")), "part")
+    placed = blocks.join(F.broadcast(parts.select("part", earlier.alias("_earlier"))), "part")
     rows = placed.select((F.col("_earlier") + F.col("before")).alias("start"), "ids", "lengths", "bytes")
     kind = rows.schema["ids"].dataType.elementType.simpleString()
 
