@@ -5,35 +5,38 @@ their ids into blocks of whole documents. A dataset is a folder of Parquet files
 by Spark's own committer, with a row per block: the task (``part``, in id order), the ids
 before the block in that task, the documents, how many ids each has, and the block's bytes.
 
-Bytes of a block, all little-endian: ids, words, escapes (three 64-bit counts); for every
-``STEP`` words the number of ids and of escapes before them (64 bits each); the words; the
+Bytes of a block, all little-endian: how many ids, words and escapes (32 bits each); for every
+group of ``STEP`` ids the number of words and of escapes before it (32 bits each); the words; the
 escapes (32 bits each). The upper 4 bits of a word are its selector. Selector 0 is a run: 28
-bits say how often the id in the lower 32 bits stands. The others hold the stated number of
-ids in as many bits each, from the lowest bits on; a field of ones is an escape, whose id is
-the next one of the escapes. So rare large ids don't widen a word of small ones, and a
-reader can start at any ``STEP``-th word.
+bits say how often the id in the lower 32 bits stands. The others hold as many ids as fit, in
+fields of a stated width, from the lowest bits on; a field of ones is an escape, whose id is
+the next one of the escapes. So rare large ids don't widen a word of small ones. No word
+holds ids of two groups, so a reader can start at any group.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import struct
+import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lanewright.llm.batches import octets, pieces
-from lanewright.llm.bpe import WORD_END, default_vocabulary, vocabulary
+from lanewright.llm.batches import pieces
+from lanewright.llm.bpe import ASCII_WORD, WORD_END, default_vocabulary, vocabulary
 
 # fixed values: bits of a field by selector, from selector 1 on
 BITS = [1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60]
-#: Words from one offset to the next.
+#: Ids from one offset to the next.
 STEP = 256
 #: Ids from which on a block is closed; a longer document is a block of its own.
 BLOCK_IDS = 1 << 16
@@ -43,7 +46,9 @@ KNOWN_WORDS = 600_000
 KNOWN_LENGTH = 64
 #: Words that go to the library as one text.
 TOGETHER = 256
-RUN_BITS, ID_BITS = 28, 32
+#: Bytes of text that a task encodes together; one longer text is taken alone.
+TEXTS = 16 << 20
+ID_BITS = 32
 COUNT = np.array([0, *(60 // b for b in BITS)], dtype=np.int64)
 
 
@@ -52,33 +57,37 @@ COUNT = np.array([0, *(60 // b for b in BITS)], dtype=np.int64)
 
 def pack(ids: np.ndarray) -> bytes:
     """The bytes of a block of ids (unsigned 32 bits)."""
-    ids = np.ascontiguousarray(ids, dtype=np.uint64)
+    small, ids = ids, np.ascontiguousarray(ids, dtype=np.uint64)
     n = len(ids)
+    firsts = np.arange(0, n, STEP)
+    left = np.minimum(firsts + STEP, n).repeat(STEP)[:n] - np.arange(n)  # ids to the end of the group
     # for a word that starts at each place: the selector with the fewest bits per id, escapes included
     least, chosen, ahead = np.full(n, np.inf, dtype=np.float32), np.zeros(n, dtype=np.int8), np.zeros(n, dtype=np.int64)
     for s, bits in enumerate(BITS, start=1):
         fields = 60 // bits
         if fields > n:
             continue
-        wide = ids >= (1 << bits) - 1
-        if 3 * int(wide.sum()) > 2 * n:  # hardly ever pays
+        wide = small >= min((1 << bits) - 1, 2**32)
+        if 3 * np.count_nonzero(wide) > 2 * n:  # hardly ever pays
             continue
         before = np.zeros(n + 1, dtype=np.int32)
         np.cumsum(wide, out=before[1:])
         cost = (64 + 32 * (before[fields:] - before[:-fields])).astype(np.float32) / fields
-        better = np.flatnonzero(cost < least[: n - fields + 1])
+        better = np.flatnonzero((cost < least[: n - fields + 1]) & (left[: n - fields + 1] >= fields))
         least[better], chosen[better], ahead[better] = cost[better], s, fields
     if n:
         borders = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1])))
         until = np.repeat(np.append(borders[1:], n), np.diff(np.append(borders, n)))
-        run = np.minimum(until - np.arange(n), (1 << RUN_BITS) - 1)
+        run = np.minimum(until - np.arange(n), left)
         better = np.flatnonzero(64 / run < least)
         chosen[better], ahead[better] = 0, run[better]
-    jumps, at, starts = ahead.tolist(), 0, []
-    while at < n:
-        starts.append(at)
-        at += jumps[at]
-    starts = np.array(starts, dtype=np.int64)
+    # the words of all groups, one more of each group at a time
+    at, taken = firsts, []
+    while len(at):
+        taken.append(at)
+        at = at + ahead[at]
+        at = at[(at < n) & (at % STEP != 0)]
+    starts = np.sort(np.concatenate(taken)) if taken else firsts
     selectors = chosen[starts].astype(np.uint64)
     words = selectors << np.uint64(60)
     runs = np.flatnonzero(selectors == 0)
@@ -93,27 +102,25 @@ def pack(ids: np.ndarray) -> bytes:
             shifts = np.arange(60 // bits, dtype=np.uint64) * np.uint64(bits)
             words[own] |= np.bitwise_or.reduce(np.minimum(values, ones) << shifts, axis=1)
     escapes = ids[escaped].astype("<u4")
-    groups = starts[::STEP]
-    skipped = np.concatenate(([0], np.cumsum(escaped)))[groups]
-    offsets = np.stack((groups, skipped), axis=1).astype("<u8")
-    return b"".join((struct.pack("<3Q", n, len(words), len(escapes)), offsets.tobytes(), words.astype("<u8").tobytes(), escapes.tobytes()))
+    skipped = np.concatenate(([0], np.cumsum(escaped)))[firsts]
+    offsets = np.stack((np.searchsorted(starts, firsts), skipped), axis=1).astype("<u4")
+    return b"".join((struct.pack("<3I", n, len(words), len(escapes)), offsets.tobytes(), words.astype("<u8").tobytes(), escapes.tobytes()))
 
 
 def unpack(block: bytes, first: int = 0, count: int | None = None) -> np.ndarray:
     """``count`` ids of a block (default: all) from the ``first`` on."""
-    n, n_words, n_escapes = struct.unpack_from("<3Q", block)
+    n, n_words, n_escapes = struct.unpack_from("<3I", block)
     stop = n if count is None else min(n, first + count)
-    groups = -(-n_words // STEP)
-    offsets = np.frombuffer(block, "<u8", 2 * groups, 24).astype(np.int64).reshape(groups, 2)
-    words = np.frombuffer(block, "<u8", n_words, 24 + 16 * groups)
-    escapes = np.frombuffer(block, "<u4", n_escapes, 24 + 16 * groups + 8 * n_words)
+    groups = -(-n // STEP)
+    offsets = np.frombuffer(block, "<u4", 2 * groups, 12).reshape(groups, 2)
+    words = np.frombuffer(block, "<u8", n_words, 12 + 8 * groups)
+    escapes = np.frombuffer(block, "<u4", n_escapes, 12 + 8 * groups + 8 * n_words)
     if first >= stop:
         return np.empty(0, dtype="<u4")
-    a, b = np.searchsorted(offsets[:, 0], [first, stop - 1], "right") - 1
-    base, skipped = offsets[a]
-    end = offsets[b + 1][1] if b + 1 < groups else n_escapes
-    ids = decoded(words[a * STEP : (b + 1) * STEP], escapes[skipped:end])
-    return ids[first - base : stop - base]
+    a, b = first // STEP, -(-stop // STEP)
+    to = offsets[b] if b < groups else (n_words, n_escapes)
+    ids = decoded(words[offsets[a, 0] : to[0]], escapes[offsets[a, 1] : to[1]])
+    return ids[first - a * STEP : stop - a * STEP]
 
 
 def decoded(words: np.ndarray, escapes: np.ndarray) -> np.ndarray:
@@ -142,12 +149,27 @@ def decoded(words: np.ndarray, escapes: np.ndarray) -> np.ndarray:
 # --- texts to ids ------------------------------------------------------------------------
 
 
+def gathered(values: list[bytes], index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The packed ids of ``values[i]`` for each i of ``index``, one after the other, and how many each has."""
+    sizes = np.fromiter(map(len, values), dtype=np.int64, count=len(values)) // 4
+    counts = sizes[index]
+    places = np.repeat((np.cumsum(sizes) - sizes)[index] - (np.cumsum(counts) - counts), counts)
+    places += np.arange(len(places))
+    return np.frombuffer(b"".join(values), "<u4")[places], counts
+
+
+def pieces_of(ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
+    """The packed ids in pieces of ``counts``."""
+    packed, ends = ids.tobytes(), (4 * np.cumsum(counts)).tolist()
+    return [packed[a:b] for a, b in zip([0, *ends], ends)]
+
+
 class Encoder:
     """The library's tokens of whole texts, each word of the worker's texts encoded once.
 
     White space never reaches a token and no rule looks across it, so what stands between ASCII white
-    space is encoded by itself. New ones are split into the vocabulary's words, and the new words go to
-    the library many at a time; each ends with the one token that has the word end.
+    space (a chunk) is encoded by itself. New chunks are split into the vocabulary's words, and new words go
+    to the library many at a time; each ends with the one token that has the word end.
     """
 
     def __init__(self, path: str):
@@ -155,8 +177,10 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.rules = vocabulary(path)
-        self.ends = np.array([name.endswith(WORD_END) for name in self.rules.names])
+        rules = vocabulary(path)
+        self.ends = np.array([name.endswith(WORD_END) for name in rules.names])
+        # words of many chunks, with the line ends between them
+        self.ascii, self.split = (re.compile(f"{p.pattern}|\n") for p in (ASCII_WORD, rules.split))
         self.chunks: dict[bytes, bytes] = {}
         self.words: dict[str, bytes] = {}
 
@@ -167,45 +191,67 @@ class Encoder:
         out, groups = {}, [words[i : i + TOGETHER] for i in range(0, len(words), TOGETHER)]
         for group, found in zip(groups, self.library.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)):
             ids = np.array(found.ids, dtype="<u4")
-            ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
-            if len(ends) != len(group):  # a word that the library splits or leaves out
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) == len(group):
+                out.update(zip(group, pieces_of(ids, np.diff(ends, prepend=0))))
+            else:  # a word that the library splits or leaves out
                 out |= {w: self.alone(w) for w in group}
-                continue
-            packed, start = ids.tobytes(), 0
-            for word, end in zip(group, ends):
-                out[word], start = packed[start:end], end
         return out
 
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Packed ids of each text (little-endian, unsigned 32 bits)."""
-        if len(self.chunks) > KNOWN_WORDS:
-            self.chunks = {}
-        if len(self.words) > KNOWN_WORDS:
-            self.words = {}
-        split, get = [t.split() for t in texts], self.chunks.get
-        parts = [list(map(get, chunks)) for chunks in split]
-        missing = {c for chunks, found in zip(split, parts) if None in found for c, ids in zip(chunks, found) if ids is None}
-        if missing:
-            new = self.encode_chunks(missing)
-            self.chunks.update((c, ids) for c, ids in new.items() if len(c) <= KNOWN_LENGTH)
-            for chunks, found in zip(split, parts):
-                if None in found:
-                    found[:] = [new[c] if ids is None else ids for c, ids in zip(chunks, found)]
-        return [b"".join(found) for found in parts]
-
-    def encode_chunks(self, chunks: set[bytes]) -> dict[bytes, bytes]:
-        out, split = {}, {}
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and how many each has (null: none)."""
+        for known in (self.chunks, self.words):
+            if len(known) > KNOWN_WORDS:
+                known.clear()
+        split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        coded = split.flatten().dictionary_encode()
+        chunks = coded.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+        found = list(map(self.chunks.get, chunks))
+        if missing := [c for c, ids in zip(chunks, found) if ids is None]:
+            new = dict(zip(missing, self.encode_chunks(missing)))
+            remember(self.chunks, new)
+            found = [new[c] if ids is None else ids for c, ids in zip(chunks, found)]
+        ids, counts = gathered(found, coded.indices.to_numpy())
+        upto = np.concatenate(([0], np.cumsum(counts)))
+        return ids, np.diff(upto[split.offsets.to_numpy()])
+
+    def encode_chunks(self, chunks: list[bytes]) -> list[bytes]:
+        out: dict[bytes, bytes] = {}
+        plain, other = [], []
         for chunk in chunks:
-            text = chunk.decode()
-            if "<|" in text:  # perhaps a special token
-                out[chunk] = self.alone(text)
+            if b"<|" in chunk:  # perhaps a special token
+                out[chunk] = self.alone(chunk.decode())
             else:
-                split[chunk] = self.rules.words(text)
-        known = self.words
-        found = self.learn(list({w for words in split.values() for w in words if w not in known}))
-        known.update((w, ids) for w, ids in found.items() if len(w) <= KNOWN_LENGTH)
-        get = lambda w: found[w] if w in found else known[w]
-        return out | {chunk: b"".join(map(get, words)) for chunk, words in split.items()}
+                (plain if chunk.isascii() else other).append(chunk)
+        for own, pattern in ((plain, self.ascii), (other, self.split)):
+            text = b"\n".join(own).decode()
+            if own is other:  # as the library's rules have it; lower() looks at a sigma's place
+                text = unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3")
+            if own:
+                out.update(zip(own, self.encode_words(pattern.findall(text.lower()))))
+        return [out[c] for c in chunks]
+
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        """The packed ids of the words of each chunk; line ends stand between chunks."""
+        coded = pa.array(words, pa.string()).dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        found = self.learn([w for w in distinct if w not in self.words and w != "\n"])
+        known = found | {"\n": b""}
+        index = coded.indices.to_numpy()
+        ids, counts = gathered([known[w] if w in known else self.words[w] for w in distinct], index)
+        remember(self.words, found)
+        ends = np.cumsum(counts)
+        border = np.flatnonzero(index == distinct.index("\n")) if "\n" in distinct else index[:0]
+        upto = np.concatenate(([0], ends))[np.append(border, len(words))]
+        return pieces_of(ids, np.diff(upto, prepend=0))
+
+
+def remember(known: dict, new: dict) -> None:
+    """Adds what is new, long words left out."""
+    if max(map(len, new), default=0) <= KNOWN_LENGTH:
+        known.update(new)
+    else:
+        known.update((w, ids) for w, ids in new.items() if len(w) <= KNOWN_LENGTH)
 
 
 @lru_cache(maxsize=2)
@@ -246,8 +292,8 @@ def write(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text", vo
             names = ["part", "block", "before", "n", "ids", "lengths", "bytes"]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
-        for batch in pieces(batches):
-            for i, found in zip(batch.column("id").to_pylist(), encoder(vocabulary_path).encode(octets(batch))):
+        for batch in pieces(batches, limit=TEXTS):
+            for i, found in zip(batch.column("id").to_pylist(), pieces_of(*encoder(vocabulary_path).encode(batch.column("text")))):
                 ids.append(i)
                 packed.append(found + last)
                 size += len(found) // 4 + 1
@@ -268,9 +314,10 @@ def read(spark: SparkSession, path: str, id: str = "doc_id") -> DataFrame:
     ``ids`` are packed as little-endian unsigned 32-bit integers, the end id included.
     """
     blocks = spark.read.parquet(path)
-    # a row for each partition of the write at most, as many as its setting says
+
     parts = blocks.groupBy("part").agg(F.sum("n").alias("_n"))
     earlier = F.sum("_n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_n")
+    # a row for each partition of the write at most, as many as its setting says
     placed = blocks.join(F.broadcast(parts.select("part", earlier.alias("_earlier"))), "part")
     rows = placed.select((F.col("_earlier") + F.col("before")).alias("start"), "ids", "lengths", "bytes")
     kind = rows.schema["ids"].dataType.elementType.simpleString()
