@@ -26,8 +26,6 @@ from lanewright.llm.batches import cuts, pieces, strings
 
 #: Labelled documents of each label that are used for training, those with the smallest hash of their id.
 TRAINING_ROWS = 4000
-#: Characters of a training document that are used.
-TRAINING_CHARS = 20_000
 BUCKETS_LOG2 = 18
 DIMENSIONS = 8
 GRAMS = (3, 4, 5, 6)
@@ -192,7 +190,10 @@ def train(
     docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "toxic",
     rows: int = TRAINING_ROWS,
 ) -> Model:
-    """A model learned from at most ``rows`` labelled documents of each label that are not held out."""
+    """A model learned from at most ``rows`` labelled documents of each label that are not held out.
+
+    Of these, whole texts are used; the driver holds them.
+    """
     marked = labels.select(labels[id].alias("id"), labels[label].cast("int").alias("label"))
     marked = marked.filter(F.col("id").isNotNull() & F.col("label").isin(0, 1) & ~held_out(F.col("id")))
     order = [F.xxhash64("id"), "id"]
@@ -200,7 +201,7 @@ def train(
         marked.filter("label = 0").orderBy(*order).limit(rows))
     known = {r.label: r["count"] for r in marked.groupBy("label").count().collect()}
     share = known.get(1, 0) / max(1, sum(known.values()))
-    have = docs.select(docs[id].alias("id"), F.substring(docs[text], 1, TRAINING_CHARS).alias("text"))
+    have = docs.select(docs[id].alias("id"), docs[text].alias("text"))
     found = have.join(F.broadcast(sample), "id").orderBy("id", "label", "text").limit(2 * rows).collect()
     texts, marks = [r.text or "" for r in found], [r.label for r in found]
     return trained(texts, marks, share)
