@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lanewright.llm.batches import pieces, strings
+from lanewright.llm.spans import apart
 
 #: Kinds in the order in which spans of equal start are listed.
 KINDS = ("email", "ip", "card", "phone")
@@ -28,8 +29,6 @@ KINDS = ("email", "ip", "card", "phone")
 MAX_TOKENS = 16
 #: Documents with a digit or an @ that the field is trained on, those with the smallest hash of their text.
 TRAINING_DOCS = 2000
-#: Characters of one such document that are used for training.
-TRAINING_CHARS = 20_000
 EPOCHS = 6
 #: A span is added if the field gives it at least this probability within its stretch.
 MIN_PROBABILITY = 0.9
@@ -335,17 +334,16 @@ def trained(texts: list[str]) -> Field:
                     chosen.append(s)
                     at = s[1]
             gold = stretch.gold(chosen)
-            if stretch.segments and gold is not None and len(stretch.marks) <= 200:
+            if stretch.segments and gold is not None:
                 examples.append((stretch, gold))
 
     samples = {"email": ["ann.lee@mail.example.com"], "ip": ["10.0.12.7"], "card": ["4111111111111111"], "phone": ["+1 (212) 555-0142"]}
     for text in texts:
-        text = text[:TRAINING_CHARS]
         spans = base_spans(text)
         add(text, spans)
         for a, b, kind in spans:
             samples[kind].append(text[a:b])
-    words = [w for t in texts[:200] for w in t[:400].split() if w.isalpha()] or ["word"]
+    words = [w for t in texts for w in t.split() if w.isalpha()] or ["word"]
     for kind, found in samples.items():
         for one in (rng.choice(found) for _ in range(150)):
             for other in [one, *variants(one, kind, rng)]:
@@ -391,14 +389,14 @@ def all_spans(text: str, field: Field, min_probability: float = MIN_PROBABILITY)
         return span[0], KINDS.index(span[2])
 
     base = sorted(base_spans(text), key=place)
-    more = [s for s in field_spans(text, field, min_probability) if not any(s[0] < b[1] and b[0] < s[1] for b in base)]
+    more = apart(field_spans(text, field, min_probability), base)
     return base, sorted(base + more, key=place)
 
 
 def train(docs: DataFrame, text: str = "text") -> Field:
-    """A field for these documents; its sample is bounded by TRAINING_DOCS and TRAINING_CHARS."""
+    """A field for these documents; its sample is TRAINING_DOCS whole texts at most, which the driver holds."""
     rows = docs.select(docs[text].alias("text")).filter(F.col("text").rlike("[0-9@]"))
-    rows = rows.select(F.substring("text", 1, TRAINING_CHARS).alias("text"), F.xxhash64("text").alias("h"))
+    rows = rows.select("text", F.xxhash64("text").alias("h"))
     smallest = rows.select("h").orderBy("h").limit(TRAINING_DOCS)
     last = smallest.agg(F.max("h")).first()[0]
     if last is None:
