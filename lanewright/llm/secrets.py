@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lanewright.llm.batches import pieces, strings
+from lanewright.llm.spans import apart
 
 #: Kinds in the order in which spans of equal start are listed; "random" is the token-efficiency test's.
 KINDS = ("assign", "access", "hex", "random")
@@ -100,8 +101,7 @@ def random_spans(text: str, path: str, max_ratio: float = MAX_RATIO) -> list[tup
 def spans(text: str, path: str, max_ratio: float = MAX_RATIO) -> list[tuple[int, int, str]]:
     """All spans by start, then kind; a random run that touches a base span is that span already."""
     base = base_spans(text)
-    more = [r for r in random_spans(text, path, max_ratio) if not any(r[0] < b[1] and b[0] < r[1] for b in base)]
-    return sorted(base + more, key=lambda s: (s[0], KINDS.index(s[2])))
+    return sorted(base + apart(random_spans(text, path, max_ratio), base), key=lambda s: (s[0], KINDS.index(s[2])))
 
 
 SPANS = "array<struct<start:int,end:int,kind:string>>"
