@@ -310,12 +310,16 @@ def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int
 
     All columns stay. Rows are judged one by one: of repeated rows one stays, and an id that
     several texts have may stay with one and go with another. Documents without words stay;
-    of a component's rows with a null id one stays beside the one with the smallest id.
+    a row with a null id stays if no row of its component has an id, one of several.
     """
+    number = "_row"
+    while number in docs.columns:
+        number += "_"
     # rows get numbers that are written before they are used, so that they do not change
-    rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()))
-    found = similar(rows, "_row", text, words, percent).select("_row", "component_id")
-    found = stored(found.join(rows.select("_row", F.col(id).alias("_id")), "_row"))
-    groups = found.groupBy("component_id", F.col("_id").isNull()).agg(F.min(F.struct("_id", "_row")).alias("least"))
+    rows = stored(docs.withColumn(number, F.monotonically_increasing_id()))
+    found = similar(rows, number, text, words, percent).select(F.col(number).alias("_row"), "component_id")
+    ids = rows.select(F.col(number).alias("_row"), F.col(id).alias("_id"))
+    found = stored(found.join(ids, "_row"))
+    groups = found.groupBy("component_id").agg(F.min(F.struct(F.col("_id").isNull(), "_id", "_row")).alias("least"))
     gone = found.select("_row").join(groups.select(F.col("least._row").alias("_row")), "_row", "left_anti")
-    return rows.join(gone, "_row", "left_anti").drop("_row")
+    return rows.join(gone, rows[number] == gone["_row"], "left_anti").drop(number)

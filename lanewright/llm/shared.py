@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,9 +29,33 @@ def _own_folder() -> str:
     return tempfile.mkdtemp(prefix="checkpoints-")
 
 
+#: Names of the folders within folders that ``settled`` is at work in, outermost first.
+_inside: list[str] = []
+
+
 def new_path(spark: SparkSession) -> str:
     """A path of its own in the shared folder."""
-    return f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    return "/".join([shared_folder(spark), *_inside, uuid.uuid4().hex])
+
+
+def settled(spark: SparkSession, build: Callable[[], DataFrame]) -> DataFrame:
+    """What ``build`` returns, stored; all that it has stored on the way is deleted."""
+    name = uuid.uuid4().hex
+    folder = "/".join([shared_folder(spark), *_inside, name])
+    try:
+        _inside.append(name)
+        try:
+            result = build()
+        finally:
+            _inside.pop()
+        return stored(result)
+    finally:
+        _delete(spark, folder)
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stored(df: DataFrame) -> DataFrame:
@@ -42,5 +67,4 @@ def stored(df: DataFrame) -> DataFrame:
 
 def clear(spark: SparkSession) -> None:
     """Deletes what ``stored`` wrote in this application; results that still read it must be written first."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    _delete(spark, shared_folder(spark))

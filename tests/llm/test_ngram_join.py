@@ -123,7 +123,9 @@ def test_frames(spark):
     got = sorted((tuple(r) for r in op.similar(docs).collect()), key=str)
     assert got == sorted([(5, 8, 3), (5, 8, 3), (3, 8, 3), (None, 8, 3), (None, 1, None), (7, 0, 7), (8, 0, 8), (9, 1, 9)], key=str)
     assert op.similar(docs.limit(0)).count() == 0
-    assert sorted(str(r.doc_id) for r in op.keep_one(docs).collect()) == ["3", "7", "8", "9", "None", "None"]
+    assert sorted(str(r.doc_id) for r in op.keep_one(docs).collect()) == ["3", "7", "8", "9", "None"]
+    clashing = docs.selectExpr("*", "4 as _row", "5 as _row_")
+    assert op.keep_one(clashing).columns == clashing.columns and op.keep_one(clashing).count() == 5
 
 
 def test_keep_one_decides_by_row(spark):
