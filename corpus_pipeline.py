@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lanewright.llm import bpe, decontaminate, ngram_join, secrets, toxicity
 from lanewright.llm.queries import table, token_digests
-from lanewright.llm.shared import stored
+from lanewright.llm.shared import settled, stored
 
 
 def clean_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,7 +23,7 @@ def clean_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return ngram_join.keep_one(docs)
+    return settled(spark, lambda: ngram_join.keep_one(docs))
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
