@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lanewright.functions.nulls import strict_greatest
-from lanewright.operators.scans import join_groups, ordered_scan, without_match
+from lanewright.operators.scans import join_groups, ordered_scan, same_moment
+from lanewright.session import staged
 
 
 def milestone_pivot(
@@ -28,17 +29,19 @@ def milestone_pivot(
 
 def repair_gaps(
     stays: DataFrame, keys: Sequence[str], entry: str, exit: str, first_open: str, last_close: str,
-    tie: Sequence[str], pad: str = "1 minute", chunked: bool = True,
+    tie: Sequence[str], pad: str = "1 minute", chunked: bool = True, crowded: bool = False,
 ) -> DataFrame:
     """Missing entry = previous exit of the same keys + pad; missing exit = next entry - pad.
 
     Only stays with a door event are repaired (others lose both times); stays
-    without any signal are dropped first.
+    without any signal are dropped first. Stays are scanned day by day; ``crowded`` is for
+    keys that may have any number of stays at one time, or without one (the first tie is a number then).
     """
     seen = stays.filter(F.coalesce(F.col(first_open), F.col(last_close), F.col(exit)).isNotNull())
 
-    def per_day(ts: str) -> Column | None:
-        return F.to_date(ts) if chunked else None
+    def per_day(ts: str) -> list[Column] | None:
+        fine = [same_moment(F.col(ts), F.col(tie[0]))] if crowded else []
+        return [F.to_date(ts), *fine] if chunked else None
 
     back = ordered_scan(seen, keys, [exit, *tie], chunk=per_day(exit), prev={"_prev_exit": exit})
     both = ordered_scan(back, keys, [entry, *tie], chunk=per_day(entry), next={"_next_entry": entry})
@@ -140,25 +143,26 @@ def precedence_union(
 
     Rule per source: ``all`` rows; ``absent`` - rows whose key no earlier source has;
     ``absent_or_later`` - also rows that start after the last end any earlier source
-    recorded for the key (keys whose ends are all unknown admit none).
+    recorded for the key (keys whose ends are all unknown admit none). One row per key, with the
+    first source that has it and the ends, answers all rules; where a shared folder is named, each source is
+    evaluated once and written there.
     """
-    parts, earlier = [], None
-    for df, rule in sources:
-        if rule == "all" or earlier is None:
-            parts.append(df)
-        elif rule == "absent":
-            parts.append(without_match(df, earlier, [(key, "_seen")]))
-        elif rule == "absent_or_later":
-            ends = earlier.groupBy("_seen").agg(F.max("_seen_end").alias("_max_end"))
-            joined = join_groups(df, ends, [(key, "_seen")], "left")
-            parts.append(
-                joined.filter(F.col("_seen").isNull() | (F.col(start) > F.col("_max_end"))).drop("_seen", "_max_end")
-            )
-        else:
+    tagged = [df.withColumn("_rank", F.lit(i)) for i, (df, _) in enumerate(sources)]
+    rows = staged(reduce(lambda x, y: x.unionByName(y), tagged))
+    later = [i for i, (_, rule) in enumerate(sources) if rule == "absent_or_later"]
+    ends = [F.max(F.when(F.col("_rank") < i, F.col(end))).alias(f"_end_{i}") for i in later]
+    seen = rows.groupBy(F.col(key).alias("_seen")).agg(F.min("_rank").alias("_first"), *ends)
+    met = join_groups(rows, seen, [(key, "_seen")], "left")
+    # NULL keys meet no source
+    absent = F.col("_seen").isNull() | (F.col("_first") >= F.col("_rank"))
+    admitted = {"all": F.lit(True), "absent": absent}
+    kept = F.lit(False)
+    for i, (_, rule) in enumerate(sources):
+        if rule not in (*admitted, "absent_or_later"):
             raise ValueError(f"unknown rule {rule!r}")
-        seen = df.select(F.col(key).alias("_seen"), F.col(end).alias("_seen_end"))
-        earlier = seen if earlier is None else earlier.unionByName(seen)
-    return reduce(lambda x, y: x.unionByName(y), parts)
+        ok = admitted[rule] if rule in admitted else absent | (F.col(start) > F.col(f"_end_{i}"))
+        kept = kept | ((F.col("_rank") == i) & ok)
+    return met.filter(kept).drop("_rank", "_seen", "_first", *[f"_end_{i}" for i in later])
 
 
 def status_transitions(

@@ -166,7 +166,7 @@ def technician_activity(
     isp: DataFrame, ftm: DataFrame, ivr: DataFrame, segments: DataFrame, alignment: DataFrame, workorders: DataFrame
 ) -> DataFrame:
     """One activity table: sources by precedence, provider at check-in, person, duration."""
-    isp, ftm, ivr = (df.select(*ACTIVITY_COLUMNS) for df in (staged(isp), staged(ftm), ivr))
+    isp, ftm, ivr = (df.select(*ACTIVITY_COLUMNS) for df in (isp, ftm, ivr))
     log = precedence_union(
         [(isp, "all"), (ftm, "absent"), (ivr, "absent_or_later")],
         "tracking_nbr", "check_in_datetime", "check_out_datetime",

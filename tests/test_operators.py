@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+import re
 
 import pytest
 from pyspark.sql import Window
@@ -29,10 +30,25 @@ def test_chunked_scan_equals_plain_windows(spark):
     assert rows(plain, "id", "n", "s", "p", "pt", "x", "f") == rows(chunked, "id", "n", "s", "p", "pt", "x", "f")
 
 
+@pytest.mark.parametrize("fine", [False, True])
+@pytest.mark.parametrize("sides", [{"prev": {"p": "v", "pt": "t"}}, {"next": {"v": "v"}}, {"prev": {"p": "id"}, "next": {"q": "v", "qt": "t"}}])
+def test_neighbours_equal_plain_windows(spark, sides, fine):
+    df = log(spark)
+    chunks = [F.to_date("t"), scans.same_moment(F.col("t"), F.col("id"))]
+    plain = scans.ordered_scan(df, ["k"], ["t", "id"], **sides)
+    cut = scans.ordered_scan(df, ["k"], ["t", "id"], chunk=chunks if fine else chunks[0], **sides)
+    assert plain.columns == cut.columns
+    assert rows(plain) == rows(cut)
+
+
 def test_chunked_scan_spreads_a_key(spark):
     scanned = scans.ordered_scan(log(spark), ["k"], ["t", "id"], chunk=F.to_date("t"), number="n")
     plan = scanned._jdf.queryExecution().optimizedPlan().toString()
-    assert "Join" not in plan
+    # windows by key and chunk, and one by key alone, which sees the chunks' first and last rows
+    by = re.findall(r"\], \[(_key#\d+(?:, _chunk#\d+)?)\], \[", plan)
+    assert sorted("_chunk" in x for x in by) == [False, True, True]
+    alone = plan[plan.index(next(x for x in by if "_chunk" not in x) + "], ["):]
+    assert "Filter" in alone.split("Window")[0]
 
 
 def test_totals_over_groups_nulls(spark):
@@ -145,6 +161,61 @@ def test_interval_join_never_loops(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+@pytest.mark.parametrize("closed", [True, False])
+def test_span_totals(spark, closed):
+    rnd = random.Random(9)
+
+    def moment(none):
+        return None if rnd.random() < none else dt.datetime(2024, 1, 1) + dt.timedelta(hours=rnd.randrange(100))
+
+    spans = [(i, rnd.choice(["a", "a", "b", None]), moment(0.1), moment(0.3)) for i in range(120)] * 2
+    points = [(rnd.choice(["a", "a", "a", "b", "c", None]), moment(0.1), rnd.choice([None, rnd.randrange(9)])) for _ in range(300)]
+    got = joins.span_totals(
+        frame(spark, "id long, k string, b timestamp_ntz, e timestamp_ntz", *spans), frame(spark, "k string, t timestamp_ntz, v long", *points),
+        [("k", "k")], "b", "e", "t", "v", closed=closed)
+    expected = []
+    for i, k, b, e in spans:
+        held = [(t, v) for pk, t, v in points if k is not None and pk == k and b is not None and t is not None and t >= b
+                and (e is None or (t <= e if closed else t < e))]
+        known = [v for _, v in held if v is not None]
+        expected.append((i, k, b, e, len(held), sum(known) if held else None, max((t for t, _ in held), default=None)))
+    assert rows(got) == sorted(expected, key=lambda r: [(v is not None, str(type(v)) if v is None else v) for v in r])
+
+
+@pytest.mark.parametrize("closed", [True, False])
+def test_asof_join(spark, closed):
+    rnd = random.Random(11)
+    base = dt.datetime(2024, 1, 1)
+    points = [(i, rnd.choice(["hot", "hot", "b", "c", None]), None if rnd.random() < 0.1 else base + dt.timedelta(hours=rnd.randrange(200)))
+              for i in range(300)]
+    spans = []
+    for k in ("hot", "b", None):
+        cuts = sorted(rnd.sample(range(200), 40))
+        for n, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            spans.append((len(spans), k, base + dt.timedelta(hours=a), None if n == 38 else base + dt.timedelta(hours=rnd.randint(a, b - 1) if closed else rnd.randint(a, b))))
+    p = frame(spark, "id long, k string, t timestamp_ntz", *points)
+    s = frame(spark, "sid long, sk string, b timestamp_ntz, e timestamp_ntz", *spans)
+    got = joins.asof_join(p, s, [("k", "sk")], "t", "b", "e", closed=closed)
+    contained = joins.interval_join(p, s, [("k", "sk")], "t", "b", "e", closed=closed)
+    assert got.columns == ["id", "k", "t", "sid", "b", "e"]
+    assert rows(got) == rows(contained, *got.columns) and got.filter("sid IS NOT NULL").count() > 50
+    last = joins.asof_join(p, s.drop("e"), [("k", "sk")], "t", "b")
+    assert last.count() == 300 and last.filter("sid IS NULL AND k = 'hot' AND t >= (DATE'2024-01-09')").count() == 0
+
+
+def test_interval_join_with_many_open_spans(spark):
+    points = [(i, "hot" if i % 3 else "b", dt.datetime(2024, 1, 1) + dt.timedelta(hours=i % 50)) for i in range(150)]
+    spans = [(100 + i, "hot", dt.datetime(2024, 1, 1) + dt.timedelta(hours=7 * i), None if i % 4 else dt.datetime(2024, 1, 2)) for i in range(12)]
+    got = joins.interval_join(
+        frame(spark, "id long, k string, t timestamp_ntz", *points), frame(spark, "sid long, sk string, b timestamp_ntz, e timestamp_ntz", *spans),
+        [("k", "sk")], "t", "b", "e")
+    expected = []
+    for i, k, t in points:
+        met = [s for s, sk, b, e in spans if sk == k and t >= b and (e is None or t <= e)]
+        expected += [(i, s) for s in met or [None]]
+    assert rows(got, "id", "sid") == sorted(expected, key=lambda r: (r[0], r[1] is not None, r[1] or 0))
+
+
 def test_either_key_join(spark):
     left = frame(spark, "id long, win string, usr string", (1, "1", "x"), (2, "9", "u2"), (3, "1", "u1"), (4, "9", "zz"), (5, None, None))
     right = frame(spark, "emp string, ru string, name string", ("1", "u1", "A"), ("7", "u2", "B"), ("1", None, "C"))

@@ -39,7 +39,8 @@ def lines(spark):
     key = F.when(F.col("l_returnflag") == "R", F.lit(0)).when(F.col("l_returnflag") == "A", F.col("l_orderkey") + 1)
     return df.select(
         key.alias("k"), F.col("l_shipdate").alias("at"), F.monotonically_increasing_id().alias("id"),
-        F.col("l_quantity").alias("units"), F.col("l_shipdate").cast("date").alias("day"))
+        F.col("l_quantity").alias("units"), F.col("l_shipdate").cast("date").alias("day"),
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("line"))
 
 
 def executed(df) -> str:
@@ -68,6 +69,27 @@ def test_precedence_splits_a_hot_key(spark, lines):
         assert "skew=true" in executed(out)
 
 
+def test_short_windows_split_one_day_of_a_hot_key(spark, lines):
+    """A third of all points under one key on one day: the bucket's points are split over tasks."""
+    points = lines.withColumn("at", F.expr("if(k = 0, timestamp_ntz'2024-01-05 10:00:00', cast(at as timestamp_ntz))"))
+    stays = spark.createDataFrame(
+        [(0, dt.datetime(2024, 1, 5, 9), dt.datetime(2024, 1, 5, 12)), (0, dt.datetime(2024, 1, 4), dt.datetime(2024, 1, 5, 10)),
+         (7, dt.datetime(1995, 1, 1), dt.datetime(1995, 1, 5))], "sk long, b timestamp_ntz, e timestamp_ntz")
+    with settings(spark, **SMALL):
+        out = joins.interval_join(points, stays, [("k", "sk")], "at", "b", "e", bucket_hours=120)
+        assert "skew=true" in executed(out)
+        assert out.filter("k = 0 AND b IS NOT NULL").count() == 2 * points.filter("k = 0").count()
+
+
+def test_either_key_splits_a_hot_value(spark, lines):
+    people = spark.createDataFrame([(0, -1, "a"), (0, -2, "b"), (5, -3, "c")], "emp long, other long, name string")
+    with settings(spark, **SMALL):
+        out = joins.either_key_join(lines.select("k", "line"), people, [("k", "emp"), ("line", "other")])
+        assert "skew=true" in executed(out)
+        hot = lines.filter("k = 0").count()
+        assert out.filter("k = 0").count() == 2 * hot and out.filter("k IS NULL").count() == lines.filter("k IS NULL").count()
+
+
 def test_consolidation_splits_either_side(spark, lines):
     few = spark.createDataFrame([(0, "a"), (0, "b"), (5, "c"), (None, "d")], "k long, note string")
     many = lines.select("k", "id")
@@ -79,16 +101,44 @@ def test_consolidation_splits_either_side(spark, lines):
             assert out.filter("k = 0").count() == 2 * hot and out.filter("k IS NULL").count() == null + 1
 
 
-def test_scan_shuffles_by_key_and_chunk(spark, lines):
-    with settings(spark, **SMALL):
-        out = scans.ordered_scan(lines, ["k"], ["at", "id"], chunk=F.to_date("at"), number="n", prev={"p": "id"})
+def test_scan_shuffles_the_detail_once(spark, lines):
+    with settings(spark, **SMALL, **{"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        out = scans.ordered_scan(
+            lines, ["k"], ["at", "id"], chunk=F.to_date("at"), number="n", prev={"p": "id"}, fill={"f": "units"}, running={"s": "units"})
         plan = executed(out)
-        detail = [x for x in plan.split("\n") if "Exchange hashpartitioning(k" in x and "_chunk" in x]
-        assert detail, plan
+        shuffles = [x for x in plan.split("\n") if "Exchange hashpartitioning" in x and "ReusedExchange" not in x]
+        assert len(shuffles) == 3 and "ReusedExchange" in plan and "SortAggregate" not in plan, plan
+        assert plan.count("FileScan") == 1
         sizes = out.groupBy(F.spark_partition_id()).count().agg(F.max("count"), F.sum("count")).first()
         assert sizes[0] < sizes[1] / 5
 
 
+@pytest.mark.parametrize("at", ["TIMESTAMP_NTZ'2024-01-05 10:00:00'", "cast(null as timestamp_ntz)"])
+def test_neighbours_of_one_moment_are_spread(spark, lines, at):
+    """All rows of the hot key at one time, or without one: no task has more than a small part of them."""
+    moment = lines.withColumn("at", F.expr(f"if(k = 0, {at}, cast(at as timestamp_ntz))"))
+    chunks = [F.to_date("at"), scans.same_moment(F.col("at"), F.col("line"))]
+    neighbours = dict(prev={"p": "id"}, next={"q": "units"})
+    with settings(spark, **SMALL, **{"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        out = scans.ordered_scan(moment, ["k"], ["at", "line"], chunk=chunks, **neighbours)
+        plan = executed(out)
+        assert "ReusedExchange" in plan and "SortAggregate" not in plan
+        hot = out.filter("k = 0").groupBy(F.spark_partition_id()).count().agg(F.max("count"), F.sum("count")).first()
+        assert hot[0] < hot[1] / 5
+        plain = scans.ordered_scan(moment, ["k"], ["at", "line"], **neighbours)
+        assert out.exceptAll(plain).count() == 0 and out.count() == plain.count()
+
+
+def test_repair_of_gaps_shuffles_little(spark):
+    stays = spark.range(1000).selectExpr(
+        "id % 7 as dc", "cast(id % 5 as string) as trailer", "id as trip",
+        *(f"timestamp_ntz'2024-01-01' + make_interval(0, 0, 0, id % 9, {h}) as {c}" for h, c in enumerate(("gi", "op", "cl", "go"))))
+    with settings(spark, **SMALL):
+        plan = executed(events.repair_gaps(stays, ["dc", "trailer"], "gi", "go", "op", "cl", ["trip"]))
+    shuffles = [x for x in plan.split("\n") if "Exchange " in x and "ReusedExchange" not in x]
+    assert len(shuffles) <= 5 and "SortAggregate" not in plan, plan
+
+
 def test_first_versions_combine_before_the_shuffle(spark):
     history = spark.read.parquet(f"{SF_DIR}/lineitem.parquet").select(
         F.lit(1).cast("long").alias("load_id"), F.lit("T").alias("trailer_id"), F.lit(dt.date(2020, 1, 1)).cast("timestamp_ntz").alias("create_ts_utc"),
