@@ -6,12 +6,13 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType, LongType
 
 from lanewright.functions import rules
 from lanewright.functions.dates import epoch_seconds
-from lanewright.operators.scans import without_match
+from lanewright.operators.scans import ordered_scan, without_match
 
 Pairs = Sequence[tuple[str, str]]
 _ROUTES = "array<struct<route:int,slot:bigint>>"
@@ -97,20 +98,130 @@ def interval_join(
     return left.join(hits, back, how).drop("_at", *[f"_k_{k}" for k in lkeys])
 
 
+def span_totals(
+    spans: DataFrame, points: DataFrame, on: Pairs, start: str, end: str, at: str, measure: str, *, closed: bool = True,
+) -> DataFrame:
+    """Every span with ``n``, ``total`` and ``last_at``: how many points it holds, their sum of ``measure``, the latest.
+
+    ``on`` pairs keys of spans and points; a NULL end is open; spans that are empty, or lack key or
+    start, hold nothing. Overlapping spans of one key are no product of spans and points: both are
+    scanned together in order of time, and a span takes the difference of the running
+    figures at its end and its start.
+    """
+    skeys, pkeys = [a for a, _ in on], [b for _, b in on]
+    kind = points.schema[at].dataType
+    forever = F.lit("9999-12-31 23:59:59").cast(kind)
+    known = reduce(and_, [spans[k].isNotNull() for k in skeys]) & spans[start].isNotNull()
+    # at one time: starts (and ends of half-open spans), points, ends
+    edges = F.array(
+        F.struct(F.lit(0).alias("side"), spans[start].cast(kind).alias("at"), F.lit(True).alias("begins")),
+        F.struct(F.lit(2 if closed else 0).alias("side"), F.coalesce(spans[end].cast(kind), forever).alias("at"), F.lit(False).alias("begins")),
+    )
+    rows = spans.withColumn("_row", F.monotonically_increasing_id())
+    # what holds nothing stays out of the scan's way, under no key and no time
+    valid = known & (spans[end].isNull() | (spans[end] >= spans[start]))
+    laid = rows.select("*", F.explode(edges).alias("_e")).select(
+        *[F.when(valid, F.col(k)).alias(f"_k{i}") for i, k in enumerate(skeys)],
+        F.col("_e.at").alias("_t"), F.col("_e.side").alias("_side"), F.col("_e.begins").alias("_begins"),
+        "_row", valid.alias("_valid"), F.struct(*[F.col(c) for c in spans.columns]).alias("_span"),
+    )
+    dots = points.filter(reduce(and_, [points[k].isNotNull() for k in pkeys]) & points[at].isNotNull()).select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(pkeys)], F.col(at).alias("_t"), F.lit(1).alias("_side"),
+        F.col(measure).alias("_m"), F.lit(1).cast("long").alias("_one"), F.col(at).alias("_p"),
+    )
+    both = laid.unionByName(dots, allowMissingColumns=True)
+    scanned = ordered_scan(
+        both, [f"_k{i}" for i in range(len(on))], ["_t", "_side"], chunk=F.to_date("_t"), running={"_n": "_one", "_s": "_m"}, fill={"_l": "_p"},
+    ).filter(F.col("_row").isNotNull())
+
+    def upto(column: str, begins: bool) -> Column:
+        return F.max(F.when(F.col("_begins") == begins, F.col(column)))
+
+    n = F.coalesce(upto("_n", False), F.lit(0)) - F.coalesce(upto("_n", True), F.lit(0))
+    total = F.coalesce(upto("_s", False), F.lit(0)) - F.coalesce(upto("_s", True), F.lit(0))
+    sums = scanned.groupBy("_row", "_valid", "_span").agg(n.alias("_n"), total.alias("_s"), upto("_l", False).alias("_l"))
+    held = F.col("_valid") & (F.col("_n") > 0)
+    return sums.select(
+        "_span.*", F.when(held, F.col("_n")).otherwise(0).alias("n"), F.when(held, F.col("_s")).alias("total"),
+        F.when(held, F.col("_l")).alias("last_at"),
+    )
+
+
+def asof_join(
+    points: DataFrame, spans: DataFrame, on: Pairs, at: str, start: str, end: str | None = None, *, closed: bool = False,
+) -> DataFrame:
+    """Every point beside the span of its key that started last, at or before it; NULLs if that one has ended.
+
+    For spans of a key that follow each other (versions, ranges of validity) this is the join
+    on containment; a key and start should name one span. Points and starts are scanned
+    together in order of time, so both sides are read once and no (point, span) pairs are
+    formed, whatever a key's numbers of points and spans. Points without key or time find
+    nothing. Without ``end`` a span lasts until the next. Column names of the sides must not overlap.
+    """
+    keys = [f"_k{i}" for i in range(len(on))]
+    kind = points.schema[at].dataType
+    known = reduce(and_, [spans[b].isNotNull() for _, b in on]) & spans[start].isNotNull()
+    starts = spans.filter(known).select(
+        *[F.col(b).alias(k) for k, (_, b) in zip(keys, on)], F.col(start).cast(kind).alias("_t"), F.lit(0).alias("_side"),
+        F.struct(*[F.col(c) for c in spans.columns]).alias("_span"),
+    )
+    found = reduce(and_, [points[a].isNotNull() for a, _ in on]) & points[at].isNotNull()
+    dots = points.select(
+        *[F.col(a).alias(k) for k, (a, _) in zip(keys, on)], F.col(at).alias("_t"), F.lit(1).alias("_side"),
+        F.struct(*[F.col(c) for c in points.columns]).alias("_point"), found.alias("_found"),
+    )
+    both = starts.unionByName(dots, allowMissingColumns=True)
+    held = ordered_scan(both, keys, ["_t", "_side"], chunk=F.to_date("_t"), fill={"_held": "_span"}).filter("_side = 1")
+    lasts = F.lit(True)
+    if end:
+        until = F.col(f"_held.{end}")
+        lasts = until.isNull() | ((F.col("_t") <= until) if closed else (F.col("_t") < until))
+    span = F.when(F.col("_found") & lasts, F.col("_held"))
+    taken = [c for c in spans.columns if c not in {b for _, b in on}]
+    return held.withColumn("_held", span).select("_point.*", *[F.col(f"_held.{c}").alias(c) for c in taken])
+
+
 def either_key_join(left: DataFrame, right: DataFrame, on: Pairs, how: str = "left") -> DataFrame:
     """Join where any one of the key pairs matches, each matching pair of rows once.
 
-    One equi join per key pair, later ones leaving out what an earlier pair already
-    matched; a disjunction in one join would be a nested loop.
+    One equi join: rows of both sides are repeated for each key that they know, as (pair,
+    hash), and a later pair leaves out what an earlier one matches; a disjunction in the
+    join would be a nested loop. Each side is read once. For ``left``, rows are numbered, and
+    the copies of a row that found nothing fold into one if none of its copies did.
     """
-    parts, earlier = [], F.lit(False)
-    for a, b in on:
-        hit = left[a] == right[b]
-        parts.append(left.join(right, hit & ~earlier, "inner"))
-        earlier = earlier | F.coalesce(hit, F.lit(False))
+    kinds = [(left.schema[a].dataType, right.schema[b].dataType) for a, b in on]
+    wide = [LongType() if isinstance(x, IntegralType) and isinstance(y, IntegralType) else x for x, y in kinds]
+    if any(x != y and w is x for (x, y), w in zip(kinds, wide)):
+        raise ValueError("cast the keys of a pair to one type")
+
+    def routes(df: DataFrame, keys: Sequence[str]) -> Column:
+        ways = [F.when(df[k].isNotNull(), F.struct(F.lit(i).alias("route"), F.xxhash64(df[k].cast(w)).alias("slot")))
+                for i, (k, w) in enumerate(zip(keys, wide), start=1)]
+        return F.array_compact(F.array(*ways))
+
+    lost = F.array(F.struct(F.lit(0).alias("route"), F.xxhash64("_row").alias("slot")))
+    rows = left.withColumn("_row", F.monotonically_increasing_id())
+    ways = routes(rows, [a for a, _ in on])
+    if how == "left":
+        ways = F.when(F.size(ways) == 0, lost).otherwise(ways)
+    rows = rows.withColumn("_left", F.explode(ways))
+    others = right.withColumn("_right", F.explode(routes(right, [b for _, b in on])))
+    exact, earlier = F.lit(False), F.lit(False)
+    for i, (a, b) in enumerate(on, start=1):
+        hit = F.coalesce(rows[a] == others[b], F.lit(False))
+        exact = exact | ((rows["_left.route"] == i) & hit & ~earlier)
+        earlier = earlier | hit
+    met = rows.join(
+        others,
+        (rows["_left.route"] == others["_right.route"]) & (rows["_left.slot"] == others["_right.slot"]) & exact, how,
+    )
     if how == "left":
-        parts.append(reduce(lambda rows, pair: without_match(rows, right, [pair]), on, left))
-    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
+        # copies of one row are a handful
+        found = F.col("_right").isNotNull()
+        own = Window.partitionBy("_row")
+        met = met.withColumns({"_found": F.max(found).over(own), "_copy": F.row_number().over(own.orderBy("_left.route"))})
+        met = met.filter(found | (~F.col("_found") & (F.col("_copy") == 1)))
+    return met.select(*[rows[c] for c in left.columns], *[others[c] for c in right.columns])
 
 
 def consolidate(

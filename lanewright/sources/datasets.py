@@ -12,6 +12,7 @@ import datetime as dt
 import json
 import uuid
 from collections.abc import Callable, Sequence
+from functools import reduce
 from typing import TypeVar
 
 from pyspark.errors import AnalysisException
@@ -191,6 +192,32 @@ def quality_row(
     )
 
 
+def catalog(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per dataset below ``folder``: name, current version, first and last commit.
+
+    One read over the commit rows of all datasets, versioned or by partition.
+    """
+    rows = spark.read.schema(_COMMIT_SCHEMA).json(f"{folder}/*/commits").select(
+        F.element_at(F.split("_metadata.file_path", "/"), -3).alias("table_name"), "version", "committed_at", "expires_at"
+    )
+    return rows.groupBy("table_name").agg(
+        F.max("version").alias("version"), F.min("committed_at").alias("created_at"),
+        F.max_by("committed_at", "version").alias("last_update_dt"), F.max_by("expires_at", "version").alias("expires_at"),
+    )
+
+
+def quality_table(
+    spark: SparkSession, folder: str, keys: dict[str, str], project: str, dataset: str, run_at: dt.datetime,
+) -> DataFrame:
+    """A quality row for each of the datasets ``keys`` ({name: key column}) below ``folder``, with its last commit's time."""
+    rows = [
+        quality_row(read_current(spark, f"{folder}/{name}"), key, project, dataset, name, None, run_at).drop("last_update_dt")
+        for name, key in keys.items()
+    ]
+    every = reduce(lambda a, b: a.unionByName(b), rows)
+    return every.join(catalog(spark, folder).select("table_name", "last_update_dt"), "table_name", "left")
+
+
 def publish_always(build: Callable[[], Result], publish: Callable[[], None]) -> Result:
     """Run ``build``, then ``publish`` whether it succeeded or not; a build error is re-raised."""
     try:

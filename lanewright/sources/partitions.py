@@ -13,7 +13,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -110,6 +110,18 @@ def _replace(spark: SparkSession, path: str, state: tuple, touched: list, rows:
     _commit(spark, path, version + 1, at, by, columns, kept | fresh, len(touched))
 
 
+def change(
+    spark: SparkSession, path: str, source: DataFrame, combine: Callable[[DataFrame, DataFrame], DataFrame],
+    committed_at: dt.datetime, cluster_by: Sequence[str] = (),
+) -> None:
+    """A new version in which every partition that ``source`` has rows of is ``combine(its rows, source)``."""
+    state = _state(spark, path)
+    _, by, columns, parts = state
+    touched = _values(source, by)
+    target = _scan(spark, path, by, columns, {v: w for v, w in parts.items() if v in set(touched)})
+    _replace(spark, path, state, touched, combine(target, source), committed_at, cluster_by)
+
+
 def upsert(
     spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str], update: Sequence[str], insert: Sequence[str],
     committed_at: dt.datetime, cluster_by: Sequence[str] = (),
@@ -119,14 +131,10 @@ def upsert(
     Only partitions that ``source`` has rows for can change: these are read, merged and
     written. NULL keys match nothing, so such rows are added.
     """
-    state = _state(spark, path)
-    _, by, columns, parts = state
+    by = _state(spark, path)[1]
     if by not in keys or by in update:
         raise ValueError(f"{by} has to be a key that stays")
-    touched = _values(source, by)
-    target = _scan(spark, path, by, columns, {v: w for v, w in parts.items() if v in set(touched)})
-    merged = merge_upsert(target, source, keys, update, insert)
-    _replace(spark, path, state, touched, merged, committed_at, cluster_by)
+    change(spark, path, source, lambda target, rows: merge_upsert(target, rows, keys, update, insert), committed_at, cluster_by)
 
 
 def delete_matching(
