@@ -4,6 +4,8 @@ import datetime as dt
 import random
 import statistics
 
+from pyspark.sql import functions as F
+
 from lanewright.operators import states
 from lanewright.sources import partitions
 from tests.helpers import d, frame, rows
@@ -48,3 +50,15 @@ def test_increments_equal_all_rows(spark, tmp_path):
 def test_no_rows(spark):
     none = shipments(spark, [1], 5, 1).limit(0)
     assert states.figures(states.value_counts(none, ["lane"], "hours"), ["lane"], {"p": 0.5}).count() == 0
+
+
+def test_distinct_ids_roll_up(spark):
+    rnd = random.Random(4)
+    rows_ = [(rnd.choice(["a", "b", None]), rnd.randrange(14), rnd.choice([None, rnd.randrange(300), rnd.randrange(10**6), -rnd.randrange(99)]))
+             for _ in range(3000)]
+    df = frame(spark, "store string, day int, load long", *rows_).withColumn("week", (F.col("day") / 7).cast("int"))
+    halves = [states.distinct_state(df.filter(f"load % 2 {sign} 0"), ["store", "week", "day"], "load") for sign in ("=", "<>")]
+    daily = states.distinct_merged(halves, ["store", "week", "day"])
+    for keys in (["store", "week", "day"], ["store", "week"], ["store"]):
+        expected = df.filter("load IS NOT NULL").groupBy(*keys).agg(F.count_distinct("load").alias("n"))
+        assert rows(states.distinct_counts(daily, keys, "n")) == rows(expected)
