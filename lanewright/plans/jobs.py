@@ -13,7 +13,9 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lanewright.plans import carrier_loads, technician_activity, trailer_plan
+from lanewright.plans import (
+    alignment, carrier_loads, imports, load_items, planning, productivity, technician_activity, trailer_plan, workorders,
+)
 from lanewright.sources import partitions
 from lanewright.sources.datasets import (
     append_rows, committed_at, current_version, publish_always, quality_row, read_current, snapshot, write_version,
@@ -106,6 +108,69 @@ def run_technician_activity(tables: Tables, warehouse: Warehouse, project: str,
     return publish_always(build, publish)
 
 
+def run_imports(tables: Tables, warehouse: Warehouse) -> DataFrame:
+    """Shipment lines, containers and receipts of imports; returns the inbound volume."""
+    t, now, store = tables, warehouse.now, warehouse.store
+    store("import_shipment_lines", imports.shipment_lines(t["shipments"], now))
+    store("container_tracking", imports.container_tracking(t["containers"], now))
+    received = store("import_received", imports.received_by_date(t["receiver_lines"], t["receivers"]))
+    receipts = store("import_receipts", imports.booking_receipts(
+        t["order_lines"], t["purchase_orders"], t["sub_orders"], received))
+    return store("import_inbound", imports.import_inbound(imports.facility_volume(receipts), t["items"], now))
+
+
+def run_lead_times(tables: Tables, warehouse: Warehouse) -> DataFrame:
+    """Milestones of shipments, lanes' monthly figures and their trends."""
+    milestones = warehouse.store("shipment_milestones", imports.shipment_milestones(tables["shipments"], warehouse.now))
+    metrics = warehouse.store("lane_lead_times", imports.lane_metrics(milestones))
+    return warehouse.store("lead_time_trends", imports.lead_time_trends(metrics))
+
+
+def run_planning(tables: Tables, warehouse: Warehouse) -> DataFrame:
+    """Open and received orders from the receipt positions, and the outbound volume, which is returned."""
+    t, now, store = tables, warehouse.now, warehouse.store
+    positions = store("receipt_positions", planning.receipt_positions(t["order_positions"], t["planning_items"]))
+    store("open_orders", planning.open_orders(positions, t["lanes"], now))
+    store("received_orders", planning.received_orders(positions, t["lanes"], t["planning_start"], t["calendar_dim"], now))
+    return store("outbound_volume", planning.outbound_volume(
+        t["invoice_header"], t["invoice_line"], t["outbound_items"], t["orders"], t["outbound_lanes"], t["calendar_dim"], now))
+
+
+def run_load_items(tables: Tables, warehouse: Warehouse) -> DataFrame:
+    """Items on loads, the loads' summary, their lanes' figures; returns loads beside their lanes."""
+    t, now, store = tables, warehouse.now, warehouse.store
+    invoices = store("load_item_invoices", load_items.invoice_items(t["invoice_header"], t["invoice_line"], t["items"], now))
+    summary = store("load_summary", load_items.load_summary(t["loads"], t["trip_movement"], invoices, now))
+    store("load_lane_metrics", load_items.lane_metrics(summary))
+    return store("load_performance", load_items.load_performance(summary, t["fiscal_calendar"]))
+
+
+def run_work_orders(tables: Tables, warehouse: Warehouse) -> DataFrame:
+    """Work orders with their dimensions, their age, and the weekly summary, which is returned."""
+    t, now, store = tables, warehouse.now, warehouse.store
+    store("enriched_workorders", workorders.enriched_workorders(
+        t["workorders"], t["locations"], t["assignments"], t["technicians"], t["managers"], t["equipment"], t["vendors"],
+        t["fiscal_calendar"], now))
+    aged = store("workorder_ageing", workorders.ageing(t["workorders"], t["status_history"], now))
+    return store("weekly_ageing", workorders.weekly_ageing(aged))
+
+
+def run_productivity(tables: Tables, warehouse: Warehouse) -> DataFrame:
+    """What technicians did, from three sources, each stored with its running minutes."""
+    t, now, store = tables, warehouse.now, warehouse.store
+    sources = [
+        store("productivity_internal", productivity.internal_activity(t["activity"], t["technicians"], now)),
+        store("productivity_visits", productivity.site_visits(t["checkins"], now)),
+        store("productivity_calls", productivity.phone_support(t["calls"], now)),
+    ]
+    return store("technician_productivity", productivity.productivity(sources, t["locations"]), ("tech_id",))
+
+
+def run_alignment(tables: Tables, warehouse: Warehouse) -> DataFrame:
+    """Technicians of every location as rows."""
+    return warehouse.store("technician_alignment", alignment.technician_alignment(tables["locations"]), ("location_id",))
+
+
 def backup_core_data(warehouse: Warehouse, core_data: DataFrame, ttl_days: int = 720) -> str:
     """Dated copy of the core table; returns its path."""
     return snapshot(core_data, warehouse.path("core_data"), warehouse.now, ttl_days)

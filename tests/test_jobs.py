@@ -5,11 +5,13 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from checks import QUERIES
 from checks import activity as activity_checks
+from checks import supply as supply_checks
 from checks import trailer as trailer_checks
 from checks.registry import _build
 from checks.shared import DC_DIM, EVENTS_NOW, PLAN_NOW, STORE_DIM, ZONES
-from lanewright.plans import jobs
+from lanewright.plans import imports, jobs, planning, workorders
 from lanewright.sources import datasets
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -98,3 +100,85 @@ def test_trailer_plan_job(spark, tmp_path):
 def test_backup(spark, tmp_path):
     path = jobs.backup_core_data(jobs.Warehouse(spark, str(tmp_path), dt.datetime(2024, 1, 31, 5)), spark.range(3))
     assert path.endswith("core_data_20240130") and datasets.read_current(spark, path).count() == 3
+
+
+def inputs(spark, name):
+    """The input tables of a registered query."""
+    run = QUERIES[name]
+    texts = dict(zip(run.__code__.co_freevars, run.__closure__))["inputs"].cell_contents
+    known = {}
+    for key, source in texts.items():
+        known[key] = _build(spark, SF_DIR, source.spark if hasattr(source, "spark") else source, known)
+    return known
+
+
+def same(a, b):
+    assert a.columns == b.columns and a.count() == b.count()
+    assert a.exceptAll(b).isEmpty()
+
+
+def test_lead_time_job(spark, tmp_path):
+    t = inputs(spark, "yoy_trend")
+    got = jobs.run_lead_times(t, jobs.Warehouse(spark, str(tmp_path), supply_checks.LEAD_NOW))
+    same(got, imports.lead_time_trends(imports.lane_metrics(imports.shipment_milestones(t["shipments"], supply_checks.LEAD_NOW))))
+    assert got.count() > 0
+
+
+def test_productivity_and_alignment_jobs(spark, tmp_path):
+    t, warehouse = inputs(spark, "productivity"), jobs.Warehouse(spark, str(tmp_path), EVENTS_NOW)
+    got = jobs.run_productivity(t, warehouse)
+    assert got.count() > 0 and got.count() == sum(warehouse.read(f"productivity_{n}").count() for n in ("internal", "visits", "calls"))
+    same(got, QUERIES["productivity"](spark, SF_DIR).select(*got.columns))
+    wide = inputs(spark, "alignment")["wide"]
+    same(jobs.run_alignment({"locations": wide}, warehouse), QUERIES["alignment"](spark, SF_DIR))
+
+
+def test_import_job(spark, tmp_path):
+    t = inputs(spark, "allocate_received")
+    t["order_lines"] = t["order_lines"].withColumn("vnpk_ord_qty", F.col("vnpk_ord_qty").cast("double"))
+    t |= {"purchase_orders": t["pos"], "sub_orders": t["subs"], "items": inputs(spark, "import_inbound")["items"],
+          "shipments": inputs(spark, "window_over_agg")["shipments"], "containers": inputs(spark, "milestone_ladder")["containers"]}
+    warehouse = jobs.Warehouse(spark, str(tmp_path), supply_checks.IMPORT_NOW)
+    got = jobs.run_imports(t, warehouse)
+    received = imports.received_by_date(t["receiver_lines"], t["receivers"])
+    receipts = imports.booking_receipts(t["order_lines"], t["pos"], t["subs"], received)
+    assert warehouse.read("import_receipts").count() == receipts.count() > 0
+    assert got.count() == imports.import_inbound(imports.facility_volume(receipts), t["items"], supply_checks.IMPORT_NOW).count()
+    assert warehouse.read("import_shipment_lines").count() > 0 and warehouse.has("container_tracking")
+
+
+def test_planning_job(spark, tmp_path):
+    t, out, now = inputs(spark, "received_window"), inputs(spark, "outbound_union"), supply_checks.PLANNING_NOW
+    t |= {"order_positions": supply_checks._doubles(t["base"]), "planning_items": t["items"], "planning_start": t["start"],
+          "calendar_dim": t["calendar"], "invoice_header": out["headers"], "invoice_line": out["lines"], "outbound_items": out["items"],
+          "orders": out["pos"], "outbound_lanes": out["lanes"]}
+    warehouse = jobs.Warehouse(spark, str(tmp_path), now)
+    got = jobs.run_planning(t, warehouse)
+    assert warehouse.read("received_orders").count() == QUERIES["received_window"](spark, SF_DIR).count() > 0
+    assert warehouse.read("receipt_positions").count() > 0 and warehouse.has("open_orders")
+    direct = planning.outbound_volume(out["headers"], out["lines"], out["items"], out["pos"], out["lanes"], out["calendar"], now)
+    assert got.columns == direct.columns and got.count() == direct.count()
+
+
+def test_load_item_job(spark, tmp_path):
+    t, lane = inputs(spark, "load_items"), inputs(spark, "lane_metrics")
+    t |= {"invoice_header": t["headers"], "invoice_line": t["lines"], "loads": lane["loads"], "trip_movement": lane["moves"],
+          "fiscal_calendar": lane["calendar"]}
+    warehouse = jobs.Warehouse(spark, str(tmp_path), supply_checks.LOAD_NOW)
+    got = jobs.run_load_items(t, warehouse)
+    assert warehouse.read("load_item_invoices").count() > 0 and warehouse.read("load_summary").count() > 0
+    assert "load_id" in got.columns and warehouse.has("load_lane_metrics")
+
+
+def test_work_order_job(spark, tmp_path):
+    t, age = inputs(spark, "workorder_sla"), inputs(spark, "weekly_percentiles")
+    ids = age["workorders"]
+    # the ageing orders with the columns that the enrichment wants
+    wide = t["workorders"]
+    first = {c: F.lit(wide.first()[c]).cast(wide.schema[c].dataType) for c in wide.columns if c not in ids.columns}
+    t["workorders"], t["status_history"], t["fiscal_calendar"] = ids.withColumns(first), age["history"], t["calendar"]
+    now = dt.datetime(1995, 12, 20)
+    warehouse = jobs.Warehouse(spark, str(tmp_path), now)
+    got = jobs.run_work_orders(t, warehouse)
+    same(got, workorders.weekly_ageing(workorders.ageing(ids, age["history"], now)))
+    assert warehouse.has("enriched_workorders") and got.count() > 0
