@@ -254,7 +254,8 @@ def sort_passes(rows: DataFrame, length: int, log2: int = LOG2) -> tuple[Passes,
     cores, parts = Sieve.of(blocks.filter("kind = 0 and member"), log2), Sieve.of(blocks.filter("kind = 1 and not member"), log2)
     done.cores, done.parts = send(cores), send(parts)
     done.ends = send(Sieve.of(_counted(rows, done), log2))
-    strings = rows.select("text").mapInArrow(_strings(done), "name binary, at bigint, a bigint, b bigint")
+    # stored, as it is read twice
+    strings = stored(rows.select("text").mapInArrow(_strings(done), "name binary, at bigint, a bigint, b bigint"))
     again = strings.groupBy("a", "b").agg(F.count("*").alias("n")).filter("n > 1").select("a", "b")
     places = strings.join(again, ["a", "b"]).select("name", "at").distinct()
     return done, stored(places.groupBy("name").agg(F.sort_array(F.collect_list("at")).alias("places")))
