@@ -99,6 +99,7 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "n_bytes", F.expr("aggregate(spans, 0L, (n, s) -> n + s.end - s.start)").alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+        (F.size("spans") > 0).alias("repeated"),
     )
 
 
@@ -122,7 +123,7 @@ changed AS (
          sha256(unhex(coalesce(string_agg(x, '' ORDER BY p) FILTER (NOT gone), ''))) AS kept_sha256
   FROM edges GROUP BY row)
 SELECT doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
-       coalesce(kept_sha256, sha256(unhex(h))) AS kept_sha256
+       coalesce(kept_sha256, sha256(unhex(h))) AS kept_sha256, coalesce(n_removed, 0) > 0 AS repeated
 FROM texts LEFT JOIN changed USING (row)
 """
 
