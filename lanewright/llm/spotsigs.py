@@ -12,7 +12,9 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
+from lanewright.llm.merkle import numbered
 from lanewright.llm.shared import stored
 
 # fixed values: anchors, and the common words of four languages that chains pass over
@@ -73,9 +75,12 @@ def with_next(rows: DataFrame, columns: list[str], prepare: Callable[[DataFrame]
 
     ``rows`` has id and text; null ids and texts come first. Chunks of neighbouring ids are
     windows of their own; the first rows of the next chunk are added to each chunk, so that a
-    row moves once and a window holds at most a chunk. ``prepare`` may add columns once rows
+    row moves once and a window holds at most a chunk. Ids that are no whole numbers, or lie
+    far apart, are numbered first, which moves rows once more. ``prepare`` may add columns once rows
     have moved.
     """
+    if not _dense(rows):
+        return _with_next_numbered(rows, columns, prepare)
     chunk = F.coalesce(F.floor(F.col("id") / CHUNK), F.lit(-(1 << 62)))
     rows = rows.withColumn("chunk", chunk)
     firsts = rows.groupBy("chunk").agg(F.min("id").alias("first")).withColumn("group", F.floor(F.col("chunk") / CHUNK))
@@ -96,6 +101,28 @@ def with_next(rows: DataFrame, columns: list[str], prepare: Callable[[DataFrame]
     return out.filter(~F.col("carried")).drop("chunk", "carried")
 
 
+def _dense(rows: DataFrame) -> bool:
+    """Whether ids are whole numbers of which a chunk has many, and no chunk (that of null ids is one) has far more."""
+    if not isinstance(rows.schema["id"].dataType, IntegralType):
+        return False
+    n, chunks, nulls = rows.agg(
+        F.count(F.lit(1)), F.approx_count_distinct(F.floor(F.col("id") / CHUNK)), F.count(F.when(F.col("id").isNull(), 1))
+    ).first()
+    return n <= CHUNK or (n >= chunks * CHUNK / 8 and nulls <= CHUNK)
+
+
+def _with_next_numbered(rows: DataFrame, columns: list[str], prepare: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``with_next`` by the rows' numbers in the order of (id, text)."""
+    placed = numbered(rows.withColumn("all", F.lit("")), "all", ["id", "text"]).drop("all")
+    own = placed.withColumns({"chunk": F.expr(f"pos div {CHUNK}"), "carried": F.lit(False)})
+    before = F.when(F.col("pos") == 0, F.expr(f"(size - 1) div {CHUNK}")).otherwise(F.expr(f"pos div {CHUNK} - 1"))
+    heads = placed.filter(F.col("pos") % CHUNK == 0).withColumns({"chunk": before, "carried": F.lit(True)})
+    both = prepare(own.unionByName(heads).repartition("chunk"))
+    order = Window.partitionBy("chunk").orderBy("carried", "pos")
+    out = both.select("*", *(F.lead(c).over(order).alias(f"next_{c}") for c in columns))
+    return out.filter(~F.col("carried")).drop("chunk", "carried", "pos", "size")
+
+
 def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: ``id`` and ``fingerprint``, an array of signatures.
 

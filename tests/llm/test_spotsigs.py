@@ -3,6 +3,7 @@
 import hashlib
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from lanewright.llm import queries, spotsigs
@@ -42,6 +43,25 @@ def test_next_document(spark, monkeypatch):
     assert got == list(zip(texts, [*texts[1:], texts[0]]))
 
 
+@pytest.mark.parametrize("size", [3, 512])
+def test_next_document_by_number(spark, monkeypatch, size):
+    """Ids that are strings, lie far apart, or are mostly null."""
+    monkeypatch.setattr(spotsigs, "CHUNK", size)
+    for kind, ids in (("string", [None, None, "", "-7", "10", "2", "2", "a", "é"]), ("long", [k * 10**15 for k in range(20)]), ("long", [None] * 20 + [5])):
+        rows = [(i, f"t{k:02d}") for k, i in enumerate(ids)]
+        frame = spark.createDataFrame(rows, f"id {kind}, text string").repartition(4)
+        got = sorted((r.text, r.next_text) for r in spotsigs.with_next(frame, ["text"]).collect())
+        texts = [t for _, t in rows]
+        assert got == list(zip(texts, [*texts[1:], texts[0]]))
+    assert spotsigs.with_next(frame.limit(0), ["text"]).count() == 0
+
+
+def test_string_ids(spark):
+    rows = [("b", "The cat is on the mat"), ("a", "and the dog that was there"), (None, None)]
+    got = {r.name: r.edited for r in spotsigs.robustness(spark.createDataFrame(rows, "name string, text string"), "name").collect()}
+    assert got == {None: "", "a": "and the dog that was The ca"[:20] + "The ca", "b": rows[0][1][:16]}
+
+
 def test_frames(spark):
     rows = [(1, "The cat is on the mat, and the dog that was there"), (1, "The cat is on the mat, and the dog that was there"),
             (2, None), (3, ""), (None, "É" * 9), (4, "the " * 2_000 + "end of it")]
