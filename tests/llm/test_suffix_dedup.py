@@ -68,6 +68,41 @@ def test_segments(monkeypatch):
     assert place[0].tolist() == place[1].tolist() and len(place[0]) == 2961
 
 
+def test_anchors_do_not_depend_on_the_company(monkeypatch):
+    monkeypatch.setattr(op, "SEGMENT", 64)
+    rng = random.Random(4)
+    text, radix = bytes(rng.choices(b"abc", k=400)), op.Radix(40)
+
+    def groups(before):
+        ends = np.array([len(before), len(before) + len(text)])
+        every = [(a.at[k] - len(before), a.low[k] - len(before), a.high[k] - len(before), a.gram[k])
+                 for a in radix.anchors(before + text, ends) for k in range(len(a.at))]
+        return [g for g in every if g[1] >= 0]
+
+    alone = groups(b"")
+    assert sum(high - low + 1 for _, low, high, _ in alone) == 361
+    for n in range(1, 130, 7):
+        assert groups(bytes(rng.choices(b"abc", k=n))) == alone
+
+
+def test_texts_in_another_order(spark):
+    """Texts of many segments that a join's shuffle brings into other batches than the passes saw."""
+    rng = random.Random(5)
+    passages = ["".join(rng.choices("abcdefgh", k=70)) for _ in range(60)]
+    texts = [
+        "".join(rng.choice(passages)[rng.randrange(30) : rng.randrange(36, 70)] + str(rng.random()) for _ in range(100))
+        for _ in range(70)
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = {r.doc_id: (r.n_bytes, [tuple(s) for s in r.spans], bytes(r.kept)) for r in op.repeats(docs, length=40).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == dict(enumerate(brute(texts, 40)))
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text("ab", min_size=12, max_size=60), st.integers(0, 20), st.integers(0, 20))
 def test_equal_strings_have_equal_anchors(text, left, right):
