@@ -6,8 +6,10 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from checks import QUERIES
 from lanewright.operators import events, joins, scans
 from lanewright.plans import trailer_plan
+from lanewright.session import SETTINGS
 from lanewright.sources import datasets
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -156,3 +158,39 @@ def test_small_increment_never_shuffles_the_target(spark):
     plan = executed(merged)
     assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") >= 2
     assert merged.filter("o_orderstatus = 'X'").count() == source.count() and merged.count() == target.count()
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+
+
+def test_technicians_in_charge_are_joined_last(spark):
+    """A work order has many technicians: no later join shuffles the rows that this makes."""
+    with settings(spark, **SMALL):
+        joined = [line for line in plan_of(QUERIES["workorder_sla"](spark, SF_DIR)) if "Join " in line]
+    assert "_k_location_id" in joined[0]
+
+
+def test_merge_compares_distinct_target_keys(spark):
+    target = spark.read.parquet(f"{SF_DIR}/lineitem.parquet").selectExpr("l_orderkey AS k", "l_partkey AS v")
+    source = spark.range(5, 9).selectExpr("id AS k", "id AS v")
+
+    def sides():
+        lines = plan_of(datasets.merge_upsert(target, source, ["k"], ["v"], ["k", "v"]))
+        at = next(i for i, line in enumerate(lines) if "Join LeftSemi" in line)
+        return lines[at - 1], lines[at + 1]
+
+    with settings(spark, **SMALL):
+        assert "Aggregate" in sides()[1]
+    # a small source is still compared where the target's rows are, before any shuffle of them
+    assert "Aggregate" not in sides()[1] and "Aggregate" in sides()[0]
+
+
+def test_hot_partitions_are_split_early():
+    least = SETTINGS["spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes"]
+    assert int(least.removesuffix("MB")) <= 64
+
+
+def test_outbound_reads_its_lines_once(spark):
+    plan = plan_of(QUERIES["outbound_union_all"](spark, SF_DIR))
+    assert sum("Relation [l_orderkey" in line for line in plan) == 1
