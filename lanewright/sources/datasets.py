@@ -146,9 +146,10 @@ def merge_upsert(
     met = join_groups(target, once, [(k, f"_k_{k}") for k in keys], "left")
     # a filter, so that a reader of other columns, or of the count, runs the check too
     updated = met.filter(F.when(once["_n"] > 1, ambiguous).otherwise(True)).select(*kept)
-    # only the target keys the source names take part, so a small increment never shuffles the target
+    # Only the target keys the source names take part, so a small increment never shuffles the target:
+    # Spark then moves the join before the distinct. Otherwise a hot key of the target comes as one row.
     named = source.select(*[F.col(k).alias(f"_s_{k}") for k in keys])
-    present = join_groups(target.select(*keys), named, [(k, f"_s_{k}") for k in keys], "left_semi")
+    present = join_groups(target.select(*keys).distinct(), named, [(k, f"_s_{k}") for k in keys], "left_semi")
     fresh = without_match(source, present, [(k, k) for k in keys]).select(
         *[
             (F.col(f.name) if f.name in set(insert) else F.lit(None)).cast(f.dataType).alias(f.name)
