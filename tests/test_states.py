@@ -62,3 +62,13 @@ def test_distinct_ids_roll_up(spark):
     for keys in (["store", "week", "day"], ["store", "week"], ["store"]):
         expected = df.filter("load IS NOT NULL").groupBy(*keys).agg(F.count_distinct("load").alias("n"))
         assert rows(states.distinct_counts(daily, keys, "n")) == rows(expected)
+
+
+def test_roll_up_moves_no_bitmaps(spark):
+    df = spark.range(5000).selectExpr("id % 3 AS store", "id % 4 AS week", "id % 28 AS day", "id * 7 % 900 AS load")
+    state = states.distinct_state(df, ["store", "week", "day"], "load", within=["store", "week"])
+    counts = states.distinct_counts(state, ["store", "week"], "n")
+    assert rows(counts) == rows(df.groupBy("store", "week").agg(F.count_distinct("load").alias("n")))
+    plan = states.distinct_merged([state], ["store", "week"])._jdf.queryExecution().sparkPlan().toString()
+    final = states.distinct_merged([state], ["store", "week"])._jdf.queryExecution().executedPlan().toString()
+    assert "bitmap_or_agg" in plan and final.count("Exchange hashpartitioning") == 2
