@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,9 +50,11 @@ RECEIVED_COLUMNS = {
 
 def planning_items(items: DataFrame) -> DataFrame:
     """Current domestic merchandise (service departments left out)."""
-    return items.filter(
-        (F.col("country_code") == "US") & (F.col("current_ind") == "Y") & ~F.col("dept_nbr").isin(rules.SERVICE_DEPTS)
-    )
+    return items.filter(is_planned())
+
+
+def is_planned() -> Column:
+    return (F.col("country_code") == "US") & (F.col("current_ind") == "Y") & ~F.col("dept_nbr").isin(rules.SERVICE_DEPTS)
 
 
 def receipt_positions(orders: DataFrame, items: DataFrame) -> DataFrame:
@@ -221,7 +224,7 @@ def _outbound_items(items: DataFrame) -> DataFrame:
         F.col("mds_fam_id").alias("legacy_item_no"), F.col("item_nbr").alias("item_no"),
         F.col("acctg_dept_nbr").alias("dept_no"), F.col("dept_category_nbr").alias("dept_category_no"),
         F.col("vnpk_qty").alias("_pack"), F.col("vnpk_cube_qty").alias("_pack_cube"),
-        at_least_one("vnpk_qty"), at_least_one("whpk_qty"), "whpk_cube_qty", "whpk_cube_uom_code",
+        at_least_one("vnpk_qty"), at_least_one("whpk_qty"), "whpk_cube_qty", "whpk_cube_uom_code", "_planned",
     )
 
 
@@ -243,97 +246,103 @@ def _labelled_orders(orders: DataFrame) -> DataFrame:
     )
 
 
-def storage_shipments(
-    headers: DataFrame, lines: DataFrame, items: DataFrame, orders: DataFrame, lanes: DataFrame, calendar: DataFrame,
-    now: dt.datetime,
-) -> DataFrame:
-    """Shipments from storage facilities, re-routed order types shown under the flow facility."""
-    lane = lanes.filter(F.col("from_location_nbr").isin(rules.STORAGE_SITES)).select(
-        F.col("from_location_nbr").alias("ship_from_dc_nbr"), F.col("to_location_nbr").alias("ship_to_store_nbr"),
-        F.coalesce("lead_time", F.lit(0)).cast("int").alias("_lead"),
-    )
-    shipped = headers.filter(F.col("ship_from_dc_nbr").isin(rules.STORAGE_SITES))
-    rows = (
-        _invoiced(shipped, lines, now)
-        .join(_outbound_items(planning_items(items)), "legacy_item_no", "inner")
-        .join(lane, ["ship_from_dc_nbr", "ship_to_store_nbr"], "inner")
-    )
-    rows = interval_join(
-        rows, _labelled_orders(orders), [("po_nbr", "_po")], "label_date", "_ordered", "_label_until",
-        bucket_hours=24 * 60,
-    )
-    weeks = calendar.select("calendar_date", "year_wk_nbr")
-    rows = rows.join(
-        weeks.select(F.col("calendar_date").alias("invoice_date"), F.col("year_wk_nbr").alias("ship_week_no")),
-        "invoice_date", "inner",
-    ).withColumn("_receipt_day", F.date_add("invoice_date", F.col("_lead")))
-    rows = rows.join(
-        weeks.select(F.col("calendar_date").alias("_receipt_day"), F.col("year_wk_nbr").alias("receipt_week_no")),
-        "_receipt_day", "inner",
-    )
-    return _shipped(
-        rows.withColumns(
-            {
-                "part_no": F.lit("PART-2"),
-                "from_location_no": rules.rerouted_site(F.col("po_type"), F.col("ship_from_dc_nbr")),
-                "to_location_no": F.col("ship_to_store_nbr"),
-            }
-        )
+def _ordered_lines(headers: DataFrame, lines: DataFrame, orders: DataFrame, now: dt.datetime, how: str = "left") -> DataFrame:
+    """Invoiced lines beside the orders that their labels may belong to."""
+    return interval_join(
+        _invoiced(headers, lines, now), _labelled_orders(orders), [("po_nbr", "_po")], "label_date", "_ordered", "_label_until",
+        how=how, bucket_hours=24 * 60,
+    ).drop("_label_until")
+
+
+def _storage_part() -> Column:
+    """Lane, day and place of a line sent by a storage facility; NULL for others."""
+    sender = F.col("ship_from_dc_nbr")
+    return F.when(
+        sender.isin(rules.STORAGE_SITES),
+        F.struct(
+            F.lit("PART-2").alias("part_no"), sender.alias("lane_from"), F.col("ship_to_store_nbr").alias("lane_to"),
+            F.col("invoice_date").alias("day"), rules.rerouted_site(F.col("po_type"), sender).alias("shown"),
+        ),
     )
 
 
-def transfer_shipments(
-    headers: DataFrame, lines: DataFrame, items: DataFrame, orders: DataFrame, lanes: DataFrame, calendar: DataFrame,
-    now: dt.datetime,
-) -> DataFrame:
-    """Transfer orders between warehouses, dated by their order; item history rows multiply lines."""
-    transfers = orders.filter(
+def _is_transfer(now: dt.datetime, ordered: str) -> Column:
+    return (
         (F.col("po_type") == TRANSFER_TYPE)
-        & F.col("order_date").between(day(now, -TRANSFER_DAYS), day(now))
+        & F.col(ordered).between(day(now, -TRANSFER_DAYS), day(now))
         & F.col("xfer_whse_nbr").isin(rules.STORAGE_SITES)
     )
-    rows = _invoiced(headers, lines, now).join(_outbound_items(items), "legacy_item_no", "inner")
-    rows = interval_join(
-        rows, _labelled_orders(transfers), [("po_nbr", "_po")], "label_date", "_ordered", "_label_until",
-        how="inner", bucket_hours=24 * 60,
+
+
+def _transfer_part(now: dt.datetime) -> Column:
+    """The same of a line whose order is a transfer between warehouses; NULL for others."""
+    sender = F.col("xfer_whse_nbr")
+    return F.when(
+        _is_transfer(now, "_ordered"),
+        F.struct(
+            F.lit("PART-3").alias("part_no"), sender.alias("lane_from"), F.col("ship_from_dc_nbr").alias("lane_to"),
+            F.col("_ordered").alias("day"), sender.alias("shown"),
+        ),
+    )
+
+
+def _shipments(rows: DataFrame, parts: Sequence[Column], items: DataFrame, lanes: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Totals of the parts that each line belongs to.
+
+    A line is read once for all parts and its items come last, when the lines of no part are gone.
+    The storage part knows the planned items only; in the other, item history rows multiply lines.
+    """
+    kept = ["legacy_item_no", "each_ship_qty", "variable_wt_qty", "tot_whpk_ship_qty", "ext_cost_amt", "ext_retail_amt"]
+    each = rows.select(*kept, F.explode(F.array_compact(F.array(*parts))).alias("_part")).select(
+        *kept, "_part.part_no", F.col("_part.lane_from").alias("_lane_from"),
+        F.col("_part.lane_to").alias("to_location_no"), F.col("_part.day").alias("_sent"), F.col("_part.shown").alias("from_location_no"),
     )
     lane = lanes.select(
-        F.col("from_location_nbr").alias("xfer_whse_nbr"), F.col("to_location_nbr").alias("ship_from_dc_nbr"),
+        F.col("from_location_nbr").alias("_lane_from"), F.col("to_location_nbr").alias("to_location_no"),
         F.coalesce("lead_time", F.lit(0)).cast("int").alias("_lead"),
     )
     weeks = calendar.select("calendar_date", "year_wk_nbr")
-    rows = (
-        rows.join(lane, ["xfer_whse_nbr", "ship_from_dc_nbr"], "inner")
-        .withColumn("_receipt_day", F.date_add("_ordered", F.col("_lead")))
-        .join(
-            weeks.select(F.col("calendar_date").alias("_ordered"), F.col("year_wk_nbr").alias("ship_week_no")),
-            "_ordered", "inner",
-        )
+    dated = (
+        each.join(lane, ["_lane_from", "to_location_no"], "inner")
+        .withColumn("_receipt_day", F.date_add("_sent", F.col("_lead")))
+        .join(weeks.select(F.col("calendar_date").alias("_sent"), F.col("year_wk_nbr").alias("ship_week_no")), "_sent", "inner")
         .join(
             weeks.select(F.col("calendar_date").alias("_receipt_day"), F.col("year_wk_nbr").alias("receipt_week_no")),
             "_receipt_day", "inner",
         )
     )
-    return _shipped(
-        rows.withColumns(
-            {
-                "part_no": F.lit("PART-3"),
-                "from_location_no": F.col("xfer_whse_nbr"),
-                "to_location_no": F.col("ship_from_dc_nbr"),
-            }
-        )
-    )
+    item = _outbound_items(items.withColumn("_planned", F.coalesce(is_planned(), F.lit(False))))
+    return _shipped(dated.join(item, "legacy_item_no", "inner").filter((F.col("part_no") != "PART-2") | F.col("_planned")))
+
+
+def storage_shipments(
+    headers: DataFrame, lines: DataFrame, items: DataFrame, orders: DataFrame, lanes: DataFrame, calendar: DataFrame,
+    now: dt.datetime,
+) -> DataFrame:
+    """Shipments from storage facilities, re-routed order types shown under the flow facility."""
+    shipped = headers.filter(F.col("ship_from_dc_nbr").isin(rules.STORAGE_SITES))
+    return _shipments(_ordered_lines(shipped, lines, orders, now), [_storage_part()], items, lanes, calendar)
+
+
+def transfer_shipments(
+    headers: DataFrame, lines: DataFrame, items: DataFrame, orders: DataFrame, lanes: DataFrame, calendar: DataFrame,
+    now: dt.datetime,
+) -> DataFrame:
+    """Transfer orders between warehouses, dated by their order; item history rows multiply lines."""
+    transfers = orders.filter(_is_transfer(now, "order_date"))
+    rows = _ordered_lines(headers, lines, transfers, now, how="inner")
+    return _shipments(rows, [_transfer_part(now)], items, lanes, calendar)
 
 
 def outbound_volume(
     headers: DataFrame, lines: DataFrame, items: DataFrame, orders: DataFrame, lanes: DataFrame, calendar: DataFrame,
     now: dt.datetime, distinct: bool = True,
 ) -> DataFrame:
-    """Storage and transfer shipments as one table.
+    """Storage and transfer shipments as one table; invoiced lines are joined with their orders once for both.
 
     The branches never share a row (``part_no`` differs) and each is unique by its
     grouping, so ``distinct=False`` gives the same rows without the last shuffle.
     """
-    tables = (headers, lines, items, orders, lanes, calendar, now)
-    both = storage_shipments(*tables).unionByName(transfer_shipments(*tables))
+    parts = [_storage_part(), _transfer_part(now)]
+    both = _shipments(_ordered_lines(headers, lines, orders, now), parts, items, lanes, calendar)
     return both.distinct() if distinct else both
