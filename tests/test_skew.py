@@ -178,7 +178,7 @@ def test_merge_compares_distinct_target_keys(spark):
     def sides():
         lines = plan_of(datasets.merge_upsert(target, source, ["k"], ["v"], ["k", "v"]))
         at = next(i for i, line in enumerate(lines) if "Join LeftSemi" in line)
-        return lines[at - 1], lines[at + 1]
+        return "".join(lines[at - 2 : at]), lines[at + 1]
 
     with settings(spark, **SMALL):
         assert "Aggregate" in sides()[1]
