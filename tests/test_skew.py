@@ -194,3 +194,8 @@ def test_hot_partitions_are_split_early():
 def test_outbound_reads_its_lines_once(spark):
     plan = plan_of(QUERIES["outbound_union_all"](spark, SF_DIR))
     assert sum("Relation [l_orderkey" in line for line in plan) == 1
+
+
+def test_partitions_are_filled_to_half_of_what_spark_would():
+    size = SETTINGS["spark.sql.adaptive.advisoryPartitionSizeInBytes"]
+    assert int(size.removesuffix("MB")) <= 32
