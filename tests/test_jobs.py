@@ -13,6 +13,7 @@ from checks.registry import _build
 from checks.shared import DC_DIM, EVENTS_NOW, PLAN_NOW, STORE_DIM, ZONES
 from lanewright.plans import imports, jobs, planning, workorders
 from lanewright.sources import datasets
+from tests.helpers import rows
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -182,3 +183,11 @@ def test_work_order_job(spark, tmp_path):
     got = jobs.run_work_orders(t, warehouse)
     same(got, workorders.weekly_ageing(workorders.ageing(ids, age["history"], now)))
     assert warehouse.has("enriched_workorders") and got.count() > 0
+
+
+def test_outbound_parts_make_the_whole(spark):
+    out, now = inputs(spark, "outbound_union"), supply_checks.PLANNING_NOW
+    tables = out["headers"], out["lines"], out["items"], out["pos"], out["lanes"], out["calendar"], now
+    parts = planning.storage_shipments(*tables).unionByName(planning.transfer_shipments(*tables))
+    keys = planning.OUTBOUND_KEYS + ["total_whpk_ship_qty", "ext_cost_amt"]
+    assert rows(parts, *keys) == rows(planning.outbound_volume(*tables), *keys)
