@@ -43,8 +43,10 @@ WORDS, PERCENT = 5, 80
 SLACK = 10
 #: Bits of the first sieve of step 1 (log 2): a fixed-size filter of shared tokens. It only saves work.
 SIEVE_LOG2 = 26
-#: Documents and tokens of a block.
-BLOCK_ROWS, BLOCK_TOKENS = 64, 1 << 18
+#: Documents and tokens of a block: a group's documents move once for each block of the other side.
+BLOCK_ROWS, BLOCK_TOKENS = 1024, 1 << 19
+#: Pairs of sets for each meeting at a token from which it is counted by a matrix; a matrix's columns, pairs counted at a time.
+DENSE, COLUMNS, PAIRS = 128, 2048, 1 << 20
 #: Words kept with their hashes in a worker; when there are more, the store starts anew.
 KNOWN_WORDS = 150_000
 
@@ -164,15 +166,52 @@ def _other_half(tokens: np.ndarray) -> np.ndarray:
     return ((tokens << np.uint64(32)) | (tokens >> np.uint64(32))).view(np.int64)
 
 
-def _linked(a: np.ndarray, others: list[np.ndarray], percent: int, pool: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """Which of the other sets are linked to ``a``; pool: their tokens, sorted, and whose they are."""
-    tokens, whose = pool
-    low, high = np.searchsorted(tokens, a, "left"), np.searchsorted(tokens, a, "right")
-    count = high - low
-    at = np.repeat(low - (np.cumsum(count) - count), count) + np.arange(count.sum())
-    common = np.bincount(whose[at], minlength=len(others))
-    sizes = np.array([len(o) for o in others])
-    return np.flatnonzero(100 * common >= percent * (len(a) + sizes - common))
+def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Numbers of common tokens of each left with each right set.
+
+    Tokens that many of the sets have are counted by matrix products, the others pair by pair;
+    both in pieces, so memory is that of the result.
+    """
+    out = np.zeros((len(left), len(right)))
+    shared = np.intersect1d(np.unique(np.concatenate(left)), np.unique(np.concatenate(right)), assume_unique=True)
+    if not len(shared):
+        return out
+    (lt, lw), (rt, rw) = _placed(left, shared), _placed(right, shared)
+    lefts, rights = np.bincount(lt, minlength=len(shared)), np.bincount(rt, minlength=len(shared))
+    dense = np.flatnonzero(lefts * rights * DENSE > out.size)
+    column = np.full(len(shared), -1)
+    column[dense] = np.arange(len(dense))
+    for k in range(0, len(dense), COLUMNS):
+        sides = []
+        for at, whose, n in ((column[lt], lw, len(left)), (column[rt], rw, len(right))):
+            here = (at >= k) & (at < k + COLUMNS)
+            side = np.zeros((n, min(COLUMNS, len(dense) - k)), dtype=np.float32)
+            side[whose[here], at[here] - k] = 1
+            sides.append(side)
+        out += sides[0] @ sides[1].T
+    # the others: each left occurrence meets the token's right ones, which lie in a row
+    rare = column[lt] < 0
+    lt, lw, first = lt[rare], lw[rare], np.cumsum(rights) - rights
+    ends = np.cumsum(rights[lt])
+    start = 0
+    while start < len(lt):
+        stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + PAIRS, "right")))
+        count = rights[lt[start:stop]]
+        at = np.arange(count.sum()) + np.repeat(first[lt[start:stop]] - (np.cumsum(count) - count), count)
+        pairs = np.repeat(lw[start:stop], count) * len(right) + rw[at]
+        out += np.bincount(pairs, minlength=out.size).reshape(out.shape)
+        start = stop
+    return out
+
+
+def _placed(sets: list[np.ndarray], shared: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each occurrence of a shared token stands in ``shared``, and whose it is, by place."""
+    tokens, whose = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    at = np.minimum(np.searchsorted(shared, tokens), len(shared) - 1)
+    here = shared[at] == tokens
+    at, whose = at[here], whose[here]
+    order = np.argsort(at, kind="stable")
+    return at[order], whose[order]
 
 
 def second_prefix(tokens: np.ndarray, percent: int) -> set[int]:
@@ -182,39 +221,38 @@ def second_prefix(tokens: np.ndarray, percent: int) -> set[int]:
     return set(tokens[np.argpartition(order, size - 1)[:size]].tolist()) if size < len(tokens) else set(tokens.tolist())
 
 
+def links_between(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> np.ndarray:
+    """Whether each left set is linked to each right one; only sets that meet under the second order are compared in full."""
+    a, b = (np.array([len(x) for x in sets], dtype=np.int64) for sets in (left, right))
+    can = 100 * np.minimum(a[:, None], b) >= percent * np.maximum(a[:, None], b)
+    firsts = [[np.array(list(second_prefix(x, percent)), dtype=np.uint64) for x in sets] for sets in (left, right)]
+    can &= common_counts(*firsts) > 0
+    i, j = np.flatnonzero(can.any(axis=1)), np.flatnonzero(can.any(axis=0))
+    if len(i):
+        common = common_counts([left[k] for k in i], [right[k] for k in j])
+        can[np.ix_(i, j)] &= 100 * common >= percent * (a[i][:, None] + b[j] - common)
+    return can
+
+
 def _compare(percent: int):
     """Links between the left and the right documents of a block pair, as few as join what is linked."""
 
     def run(group: pa.Table) -> pa.Table:
-        blob, owners = group.column("blob")[0].as_py(), group.column("owner").to_pylist()
+        blob, owners = group.column("blob")[0].as_py(), group.column("owner").to_numpy()
         sets = [np.frombuffer(x, dtype=np.uint64) for x in group.column("tokens").to_pylist()]
-        side = np.array(group.column("right").to_pylist(), dtype=bool)
+        side = group.column("right").to_numpy()
         left, right = np.flatnonzero(~side), np.flatnonzero(side)
         a, b = [], []
         if len(left) and len(right):
-            others = [sets[k] for k in right]
-            tokens = np.concatenate(others)
-            whose = np.repeat(np.arange(len(others)), [len(o) for o in others])
-            at = np.argsort(tokens, kind="stable")
-            pool = (tokens[at], whose[at])
-            firsts = [second_prefix(o, percent) for o in others]
-            root = {owner: owner for owner in owners}
-
-            def find(owner: int) -> int:
-                while root[owner] != owner:
-                    root[owner] = owner = root[root[owner]]
-                return owner
-
-            for k in left:
-                mine, n = second_prefix(sets[k], percent), len(sets[k])
-                can = [j for j, f in enumerate(firsts) if 100 * min(n, len(others[j])) >= percent * max(n, len(others[j])) and not mine.isdisjoint(f)]
-                if can:
-                    found = _linked(sets[k], others, percent, pool)
-                    for j in np.intersect1d(found, can):
-                        if (x := find(owners[k])) != (y := find(owners[right[j]])):
-                            root[x] = y
-                            a.append(owners[k])
-                            b.append(owners[right[j]])
+            names, place = np.unique(owners, return_inverse=True)
+            root = np.arange(len(names))
+            for k, row in zip(place[left], links_between([sets[k] for k in left], [sets[k] for k in right], percent)):
+                found = place[right][row]
+                roots, first = np.unique(root[found], return_index=True)
+                new = found[first[roots != root[k]]]
+                a.extend([names[k]] * len(new))
+                b.extend(names[new])
+                root[np.isin(root, roots)] = root[k]
         return pa.table({"blob": pa.array([blob] * len(a), pa.int64()), "a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return run

@@ -3,13 +3,16 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from lanewright.llm import ngram_join as op
 from lanewright.llm import queries
+from lanewright.llm import components as components_module
 from lanewright.llm.components import components
+from lanewright.llm.shared import stored
 from tests.compare import differences
 from tests.llm.tables import duck
 
@@ -140,3 +143,44 @@ def test_query(spark):
     sf = "/root/testdata/sf0.001"
     found = differences(queries.op9_ngram_join(spark, sf), duck(sf), queries.SQL["op9_ngram_join"])
     assert not found, "\n".join(found)
+
+
+def near_group(size, start, shared=60, own=40):
+    """Sets of one group of which hardly two are linked: all share ``shared`` tokens."""
+    return [np.unique(np.concatenate([np.arange(shared), start + k * own + np.arange(own)])).astype(np.uint64) for k in range(size)]
+
+
+@pytest.mark.parametrize("dense", [0, 8, 128])
+def test_common_counts(dense, monkeypatch):
+    monkeypatch.setattr(op, "DENSE", dense)
+    monkeypatch.setattr(op, "COLUMNS", 7)
+    monkeypatch.setattr(op, "PAIRS", 50)
+    rng = np.random.default_rng(dense)
+    left, right = ([np.unique(rng.choice(90, rng.integers(40, 90))).astype(np.uint64) for _ in range(n)] for n in (9, 14))
+    right += [left[0], np.arange(1000, 1010, dtype=np.uint64)]
+    same = np.array([[len(np.intersect1d(a, b)) for b in right] for a in left])
+    both = np.array([[len(np.union1d(a, b)) for b in right] for a in left])
+    assert (op.common_counts(left, right) == same).all()
+    assert (op.links_between(left, right, 60) == (100 * same >= 60 * both)).all()
+
+
+def test_group_without_links_moves_once_for_each_large_block(spark, monkeypatch):
+    sets = near_group(900, 1000)
+    rows = [(7, k, len(x), x.tobytes()) for k, x in enumerate(sets)]
+    frame = spark.createDataFrame([(b, k, n, bytearray(x)) for b, k, n, x in rows], "blob long, owner long, n long, tokens binary")
+
+    def counted(percent):
+        return lambda group: pa.table({"blob": pa.array([7]), "a": pa.array([group.num_rows]), "b": pa.array([0])})
+
+    monkeypatch.setattr(op, "_compare", counted)
+    group = frame.select("blob", "owner", "n")
+    moved = sum(r.a for r in op._in_blocks(group, group, frame, 80).collect())
+    assert 1800 <= moved <= 3600  # each document as a left and a right one, in 64s it was 27,000
+
+
+def test_components_of_edges_at_hand_take_two_rounds(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(components_module, "stored", lambda df: written.append(1) or stored(df))
+    edges = spark.createDataFrame([(k, k + 1) for k in range(300)], "a long, b long").coalesce(1)
+    assert {(r.node, r.root) for r in components(edges).collect()} == {(k, 0) for k in range(301)}
+    assert len(written) <= 3
