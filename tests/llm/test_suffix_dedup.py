@@ -138,3 +138,24 @@ def test_query(spark):
     sf = "/root/testdata/sf0.001"
     found = differences(queries.op4_suffix_dedup(spark, sf), duck(sf), queries.SQL["op4_suffix_dedup"])
     assert not found, "\n".join(found)
+
+
+@pytest.mark.parametrize("reach", [1, 2, 3, 8, 13, 31])
+def test_least_of_each_window(reach):
+    radix = op.Radix(40)
+    radix.reach = reach
+    for n in (reach, reach + 1, reach + 50):
+        values = np.random.default_rng(n).integers(0, 99, n).astype(np.uint64)
+        assert radix.least(values).tolist() == [values[k : k + reach].min() for k in range(n - reach + 1)]
+
+
+def test_segments_look_only_at_the_ends_near_them(monkeypatch):
+    radix, seen, real = op.Radix(40), [], np.clip
+    radix.segment = 1000
+    data = bytes(random.Random(2).choices(range(97, 105), k=60_000))
+    ends = np.arange(60, 60_001, 60)
+    monkeypatch.setattr(np, "clip", lambda x, *a, **k: seen.append(len(x)) or real(x, *a, **k))
+    found = list(radix.anchors(data, ends))
+    inside = np.concatenate([op.spread(a.low, a.high) for a in found])
+    assert sorted(set(inside.tolist())) == [k for k in range(60_000) if k % 60 <= 20]
+    assert sum(seen) < 6 * len(ends)  # every segment looked at every end: 60 times as many
