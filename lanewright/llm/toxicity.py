@@ -36,6 +36,8 @@ BATCH = 32
 LONGEST_WORD = 64
 #: Words kept with their scores in a worker; when there are more, the store starts anew.
 KNOWN_WORDS = 150_000
+#: Words whose n-grams are made at a time; those of all words of a piece of text would need much memory.
+WORDS = 20_000
 #: Scores from here on are toxic.
 THRESHOLD = 0.3
 
@@ -113,7 +115,8 @@ class Model:
         if len(known) > KNOWN_WORDS:
             known.clear()
         new = list({w for ws in found for w in ws}.difference(known))
-        known.update(zip(new, self.word_scores(new).tolist()))
+        for k in range(0, len(new), WORDS):
+            known.update(zip(new[k : k + WORDS], self.word_scores(new[k : k + WORDS]).tolist()))
         out = []
         for ws in found:
             mean, _, _ = worst(np.fromiter(map(known.__getitem__, ws), dtype=np.float64, count=len(ws)))
@@ -133,8 +136,8 @@ def trained(texts: list[str], labels: list[int], share: float | None = None, epo
     number: dict[str, int] = {}
     docs = [np.array([number.setdefault(w, len(number)) for w in words_of(t)], dtype=np.int32) for t in texts]
     names, parts, counts = list(number), [], []
-    for k in range(0, len(names), 20_000):  # the n-grams of all words at once would need much memory
-        found, of = subwords(names[k : k + 20_000])
+    for k in range(0, len(names), WORDS):
+        found, of = subwords(names[k : k + WORDS])
         parts.append(found[np.argsort(of, kind="stable")].astype(np.int32))
         counts.append(np.bincount(of))
     rows, count = np.concatenate(parts), np.concatenate(counts)
@@ -192,7 +195,7 @@ def train(
 ) -> Model:
     """A model learned from at most ``rows`` labelled documents of each label that are not held out.
 
-    Of these, whole texts are used; the driver holds them.
+    Of these, whole texts are used; one task holds them, and the driver gets the weights.
     """
     marked = labels.select(labels[id].alias("id"), labels[label].cast("int").alias("label"))
     marked = marked.filter(F.col("id").isNotNull() & F.col("label").isin(0, 1) & ~held_out(F.col("id")))
@@ -202,9 +205,26 @@ def train(
     known = {r.label: r["count"] for r in marked.groupBy("label").count().collect()}
     share = known.get(1, 0) / max(1, sum(known.values()))
     have = docs.select(docs[id].alias("id"), docs[text].alias("text"))
-    found = have.join(F.broadcast(sample), "id").orderBy("id", "label", "text").limit(2 * rows).collect()
-    texts, marks = [r.text or "" for r in found], [r.label for r in found]
-    return trained(texts, marks, share)
+    found = have.join(F.broadcast(sample), "id").orderBy("id", "label", "text").limit(2 * rows)
+    fitted = found.select("text", "label").mapInArrow(_fit(share), "weights binary, bias double").collect()
+    if not fitted:  # no partition, no task
+        return trained([], [], share)
+    return Model(np.frombuffer(fitted[0].weights, dtype=np.float32), fitted[0].bias)
+
+
+def _fit(share: float):
+    """The model of a task's rows; the limit before leaves them all to one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, labels = [], []
+        for batch in batches:
+            texts += strings(batch)
+            labels += batch.column("label").to_pylist()
+        model = trained(texts, labels, share)
+        columns = [pa.array([model.weights.astype(np.float32).tobytes()], pa.binary()), pa.array([float(model.bias)])]
+        yield pa.RecordBatch.from_arrays(columns, names=["weights", "bias"])
+
+    return run
 
 
 def score(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text") -> DataFrame:

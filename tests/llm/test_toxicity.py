@@ -82,3 +82,31 @@ def test_query(spark):
         assert 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3)
     judged = [(r.score, labels[r.doc_id]) for r in rows if r.held_out and r.doc_id in labels]
     assert auc(*zip(*judged)) > 0.9
+
+
+def test_trains_in_a_task(spark, monkeypatch):
+    rng, here, real = random.Random(8), [], toxicity.trained
+    labels = [int(k % 5 == 0) for k in range(60)]
+    rows = [(k, made(rng, y, 20)) for k, y in enumerate(labels)]
+    used = [k for k in range(60) if zlib.crc32(str(k).encode()) % 4 != 2]
+
+    def spy(*args):
+        here.append(1)  # a task has a list of its own
+        return real(*args)
+
+    monkeypatch.setattr(toxicity, "trained", spy)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.train(docs, spark.createDataFrame(list(enumerate(labels)), "doc_id long, toxic int"))
+    assert not here
+    expected = real([rows[k][1] for k in used], [labels[k] for k in used], sum(labels[k] for k in used) / len(used))
+    assert model.bias == expected.bias and (model.weights == expected.weights).all()
+
+
+def test_new_words_are_scored_some_at_a_time(model, monkeypatch):
+    rng, sizes, real = random.Random(9), [], toxicity.subwords
+    texts = [made(rng, k % 2, 300) for k in range(20)]
+    expected = model.scores(texts, {})
+    monkeypatch.setattr(toxicity, "subwords", lambda words: sizes.append(len(words)) or real(words))
+    monkeypatch.setattr(toxicity, "WORDS", 50, raising=False)
+    assert model.scores(texts, {}) == expected
+    assert max(sizes) <= 50
