@@ -171,6 +171,14 @@ def test_technicians_in_charge_are_joined_last(spark):
     assert "_k_location_id" in joined[0]
 
 
+def test_work_orders_are_worked_out_before_they_meet_their_technicians(spark):
+    """What a work order has by itself is computed once, not for each technician in charge."""
+    with settings(spark, **SMALL, **{"spark.sql.debug.maxToStringFields": "500"}):
+        above = plan_of(QUERIES["workorder_sla"](spark, SF_DIR))[0]
+    assert above.startswith("Project") and "sla_status" in above
+    assert "CASE WHEN" not in above and above.count("(") == 1  # what no technician is called
+
+
 def test_merge_compares_distinct_target_keys(spark):
     target = spark.read.parquet(f"{SF_DIR}/lineitem.parquet").selectExpr("l_orderkey AS k", "l_partkey AS v")
     source = spark.range(5, 9).selectExpr("id AS k", "id AS v")
