@@ -2,6 +2,7 @@
 
 import random
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -10,7 +11,8 @@ from hypothesis import strategies as st
 
 from lanewright.llm import queries
 from lanewright.llm import suffix_dedup as op
-from lanewright.llm.sieve import Sieve
+from lanewright.llm.shared import shared_folder
+from lanewright.llm.sieve import LOG2, Sieve
 from tests.compare import differences
 from tests.llm.tables import duck
 
@@ -125,6 +127,33 @@ def test_sieve_loses_nothing(spark):
     assert passed.all() and not Sieve.of(keys.limit(0), 20).holds(rows.a.to_numpy(), rows.b.to_numpy()).any()
 
 
+def test_sieves_have_room_for_their_keys(spark):
+    """A sieve of a fixed size is full at some corpus size, and then all suffixes go on to the last digit."""
+    assert Sieve.log2_for(1000) == LOG2 and 8 <= 2 ** Sieve.log2_for(50_000_000) / 50_000_000 < 16
+    rows = spark.range(40_000).selectExpr("xxhash64(id) AS a", "xxhash64(id, 1) AS b", "id < 20000 AS member")
+    sieve = Sieve.sized(rows.filter("member"), least=8)
+    rows = rows.toPandas()
+    passed = sieve.holds(rows.a.to_numpy(), rows.b.to_numpy())
+    assert passed[rows.member].all() and passed[~rows.member].mean() < 0.05
+
+
+def test_what_the_passes_move_goes(spark):
+    """After the passes only the strings' places are on disk: no shuffle files, no keys, no strings."""
+    rows = spark.createDataFrame([(t,) for t in corpus(3)], "text string").repartition(3)
+    disk = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+
+    def there():
+        names = disk.getAllFiles().mkString(" ").split()
+        folder = Path(shared_folder(spark).removeprefix("file://"))
+        return {x for x in names if "shuffle_" in x}, {str(x) for x in folder.rglob("part-*.parquet")}
+
+    before = there()
+    places = op.sort_passes(rows, 40)[1]
+    shuffled, stored = (after - was for after, was in zip(there(), before))
+    assert not shuffled
+    assert stored == {x.removeprefix("file://") for x in places.inputFiles()}
+
+
 def test_frames(spark):
     text = "".join(random.Random(1).choices("abcdefgh ", k=900))
     rows = [(1, text), (1, text), (2, None), (None, "short"), (4, "start " + text[100:600])]
